@@ -33,9 +33,14 @@ def after_first_comma(text: Column) -> Column:
     return F.when(comma > 0, trim_blanks(F.substr(text, comma + 1)))
 
 
+def year_of(date: Column) -> Column:
+    """What stands before the first ``-`` of a date, all of it when there is none."""
+    return F.substring_index(date, "-", 1)
+
+
 def without_year(tags: Column, date: Column) -> Column:
     """``tags`` without any occurrence of the year that starts ``date`` (``yyyy-...``)."""
-    return F.replace(tags, F.substring_index(date, "-", 1), F.lit(""))
+    return F.replace(tags, year_of(date), F.lit(""))
 
 
 def occurs_in(part: Column, whole: Column) -> Column:

@@ -40,8 +40,9 @@ def trim_group_tail(
     rows = rows.select(group, *order)
     cuts = _find_cuts(rows, group, order, keep, buckets, rank_rows)
     placed = rows.join(cuts, group)
-    inside = placed.where(~F.col("_all") & _in_region(order))
-    before = placed.where(F.col("_all") | _before_region(order))
+    bounded = _bounded(placed, order)
+    inside = placed.where(~F.col("_all") & _in_region(bounded))
+    before = placed.where(F.col("_all") | _before_region(bounded))
 
     folded = inside.groupBy(group, *order, "_need").agg(F.count(F.lit(1)).alias("_n"))
     ranked = Window.partitionBy(group).orderBy(*order)
@@ -77,19 +78,19 @@ def _find_cuts(rows, group, order, keep, buckets, rank_rows) -> DataFrame:
         }
         for row in first.collect()
     }
-    schema = T.StructType(
-        [rows.schema[group], T.StructField("_need", T.LongType()),
-         T.StructField("_all", T.BooleanType())]
-        + [T.StructField(f"{side}{j}", T.DoubleType())
-           for j in range(len(order)) for side in ("_low", "_high")]
-    )
+    types = [rows.schema[group], T.StructField("_need", T.LongType()),
+             T.StructField("_all", T.BooleanType())]
 
     def table(keys):
+        """The regions of some groups, with as many bounds as the deepest one has."""
+        depth = max((len(regions[key]["bounds"]) for key in keys), default=1)
+        sides = [f"{side}{j}" for j in range(depth) for side in ("_low", "_high")]
         data = []
         for key in keys:
             region = regions[key]
-            bounds = region["bounds"] + [(None, None)] * (len(order) - len(region["bounds"]))
+            bounds = region["bounds"] + [(None, None)] * (depth - len(region["bounds"]))
             data.append((key, region["need"], region["all"], *(v for b in bounds for v in b)))
+        schema = T.StructType(types + [T.StructField(side, T.DoubleType()) for side in sides])
         return rows.sparkSession.createDataFrame(data, schema)
 
     searching = {key for key, region in regions.items() if not region["all"]}
@@ -117,19 +118,24 @@ def _find_cuts(rows, group, order, keep, buckets, rank_rows) -> DataFrame:
 
 def _split_regions(placed: DataFrame, group: str, order: Sequence[str], buckets: int):
     """The bucket each group's cut falls in: its size, its bounds and the rows still needed."""
-    value, low, high, following = (
-        F.coalesce(*[F.when(_is_searched(j, order), c(j)) for j in reversed(range(len(order)))])
-        for c in (
-            lambda j: F.col(order[j]),
-            lambda j: F.col(f"_low{j}"),
-            lambda j: F.col(f"_high{j}"),
-            lambda j: F.col(order[min(j + 1, len(order) - 1)]),
-        )
-    )
+    bounded = _bounded(placed, order)
+    depth = len(bounded)
+
+    def searched(column_at):
+        """The column at the last bound of the group's region."""
+        at = column_at(depth - 1)
+        for j in reversed(range(depth - 1)):
+            at = F.when(F.col(f"_low{j + 1}").isNull(), column_at(j)).otherwise(at)
+        return at
+
+    value = searched(lambda j: F.col(order[j]))
+    low = searched(lambda j: F.col(f"_low{j}"))
+    high = searched(lambda j: F.col(f"_high{j}"))
+    following = searched(lambda j: F.col(order[min(j + 1, len(order) - 1)]))
     share = F.when(high > low, (value - low) / (high - low)).otherwise(0.0)
     bucket = F.least(F.floor(share * buckets), F.lit(buckets - 1))
     counts = (
-        placed.where(_in_region(order))
+        placed.where(_in_region(bounded))
         .select(group, F.col("_need").alias("_left"), bucket.alias("_bucket"),
                 value.alias("_value"), following.alias("_next"))
         .groupBy(group, "_left", "_bucket")
@@ -151,28 +157,26 @@ def _split_regions(placed: DataFrame, group: str, order: Sequence[str], buckets:
     )
 
 
-def _is_searched(j: int, order: Sequence[str]) -> Column:
-    """True when column j is the last bounded one of the region."""
-    bounded = F.col(f"_low{j}").isNotNull()
-    return bounded & F.col(f"_low{j + 1}").isNull() if j + 1 < len(order) else bounded
+def _bounded(placed: DataFrame, order: Sequence[str]) -> Sequence[str]:
+    """The ordering columns that are bounded in the region of at least one group."""
+    return [name for j, name in enumerate(order) if f"_low{j}" in placed.columns]
 
 
-def _in_region(order: Sequence[str]) -> Column:
-    return reduce(
-        and_,
-        (
-            F.col(f"_low{j}").isNull() | F.col(name).between(F.col(f"_low{j}"), F.col(f"_high{j}"))
-            for j, name in enumerate(order)
-        ),
-    )
+def _in_region(bounded: Sequence[str]) -> Column:
+    within = [
+        F.col(name).between(F.col(f"_low{j}"), F.col(f"_high{j}"))
+        for j, name in enumerate(bounded)
+    ]
+    # the first column is always bounded, later ones may be free in some groups
+    free = [F.col(f"_low{j}").isNull() for j in range(1, len(bounded))]
+    return reduce(and_, [within[0], *(f | w for f, w in zip(free, within[1:]))])
 
 
-def _before_region(order: Sequence[str]) -> Column:
+def _before_region(bounded: Sequence[str]) -> Column:
     """Rows that sort before every row of the region."""
     before = F.lit(False)
-    for j in reversed(range(len(order))):
-        low, value = F.col(f"_low{j}"), F.col(order[j])
-        before = F.coalesce(value < low, F.lit(False)) | (
-            F.coalesce((value == low) & (F.col(f"_high{j}") == low), F.lit(False)) & before
-        )
+    for j, name in reversed(list(enumerate(bounded))):
+        low, value = F.col(f"_low{j}"), F.col(name)
+        before = (value < low) | ((value == low) & (F.col(f"_high{j}") == low) & before)
+        before = F.coalesce(before, F.lit(False)) if j else before
     return before

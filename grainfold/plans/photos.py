@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from grainfold.functions.text import year_of
 from grainfold.operators.folds import count_by, count_by_lookup
 from grainfold.operators.ranking import pack_ranked, top_n, top_n_per_group
 from grainfold.operators.rows import drop_self_tags, explode_list, locality_name, strip_year
@@ -28,8 +29,8 @@ def _tag_counts(photos: DataFrame, localities: DataFrame) -> DataFrame:
     read from a written table straight into the sort-merge join, so that Spark may split a
     place with very many photos over several tasks.
     """
-    photos = strip_year(photos.select("place_id", "tags", "date_taken"))
-    tagged = photos.select("place_id", "tags").join(localities, "place_id")
+    photos = photos.select("place_id", "tags", year_of(F.col("date_taken")).alias("year"))
+    tagged = strip_year(photos.join(localities, "place_id"), "tags", "year")
     tags = explode_list(tagged.select("locality", "tags"), "tags", " ", "tag")
     return count_by(drop_self_tags(tags), "locality", "tag")
 

@@ -12,15 +12,18 @@ def key_value_lines(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.select(F.concat_ws("\t", *[F.col(c).cast("string") for c in columns]).alias("value"))
 
 
-def packed_tag_lines(tag_counts: DataFrame) -> DataFrame:
-    """``locality<tab>tag:n,tag:n,``, one line per locality, tags ascending.
+def packed_tag_lines(tag_counts: DataFrame, parts: int = 16) -> DataFrame:
+    """``locality<tab>tag:n,tag:n,``, up to ``parts`` lines per locality.
 
-    This is an interchange format with one line per locality, so a line is as long as the
-    locality has distinct tags; the queries here never read it back.
+    A reader adds up the lines of a locality, so its tags are spread over several lines by
+    their hash and no task has to hold all tags of a popular locality.
     """
     entry = F.concat("tag", F.lit(":"), F.col("n").cast("string"), F.lit(","))
-    packed = tag_counts.groupBy("locality").agg(F.array_sort(F.collect_list(entry)).alias("e"))
-    return packed.select(F.concat("locality", F.lit("\t"), F.array_join("e", "")).alias("value"))
+    part = F.pmod(F.xxhash64("tag"), F.lit(parts)).alias("part")
+    packed = tag_counts.groupBy("locality", part).agg(
+        F.array_join(F.array_sort(F.collect_list(entry)), "").alias("packed")
+    )
+    return packed.select(F.concat_ws("\t", "locality", "packed").alias("value"))
 
 
 def itemset_lines(itemsets: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ def places(spark: SparkSession, folder: str) -> DataFrame:
 
 def photos(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as photos of the part they order, tagged from their other columns."""
-    year = F.date_format("l_shipdate", "yyyy")
+    year = F.year("l_shipdate").cast("string")
     return table(spark, folder, "lineitem").select(
         F.col("l_partkey").alias("place_id"),
         F.concat_ws(
@@ -38,7 +38,7 @@ def photos(spark: SparkSession, folder: str) -> DataFrame:
             F.concat(F.lit("Supplier"), F.col("l_suppkey").cast("string")),
             "l_linestatus",
         ).alias("tags"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("date_taken"),
+        F.col("l_shipdate").cast("date").cast("string").alias("date_taken"),
     )
 
 
