@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.ml.fpm import FPGrowth
+from collections.abc import Iterable, Iterator
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from grainfold.functions.numbers import support_threshold
 from grainfold.session import written
 
+# Counters per scan of the baskets; more candidates than that take more scans.
+COUNTERS = 4_000_000
+# Cells of the 0/1 matrix a task holds at a time.
+CELLS = 8_000_000
+
 
 def to_baskets(pairs: DataFrame, basket: str, item: str) -> DataFrame:
     """``basket, items``: the distinct items of a basket, ascending."""
@@ -29,31 +39,137 @@ def frequent_itemsets(
 
     Baskets are built from frequent items only. Each such item takes ``support`` of all
     baskets, so there are at most (mean basket size / support) of them, and no basket
-    is longer than that, whatever the raw data hold.
+    is longer than that, whatever the raw data hold. Larger sets are found size by size,
+    with one scan of the baskets each.
     """
     distinct = pairs.select(F.col(basket).alias("basket"), F.col(item).alias("item"))
     distinct = written(distinct.dropna().distinct(), "pairs")
-    n = distinct.select("basket").distinct().count()
-    least = support_threshold(support, n)
+    least = support_threshold(support, distinct.select("basket").distinct().count())
     singles = distinct.groupBy("item").agg(F.count(F.lit(1)).alias("support"))
     singles = written(singles.where(F.col("support") >= least), "items")
-    single_sets = singles.select(F.array("item").alias("items"), "support")
+    levels = [singles.select(F.array("item").alias("items"), "support")]
     if max_size < 2:
-        return single_sets
-
-    frequent = distinct.join(singles.select("item"), "item")
-    baskets = to_baskets(frequent, "basket", "item").where(F.size("items") > 1)
-    baskets = written(baskets.select("items"), "baskets")
-    in_reach = baskets.count()
-    if in_reach < least:
-        return single_sets
-    # half a basket below the threshold: the learner rounds up, this operator rounds down
-    learner = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / in_reach)
-    sets = learner.fit(baskets).freqItemsets
-    larger = sets.where(F.size("items").between(2, max_size)).select(
-        F.array_sort("items").alias("items"), F.col("freq").alias("support")
+        return levels[0]
+
+    names = [row["item"] for row in singles.select("item").orderBy("item").collect()]
+    numbered = pairs.sparkSession.createDataFrame(
+        list(enumerate(names)),
+        T.StructType([T.StructField("at", T.IntegerType()), singles.schema["item"]]),
     )
-    return single_sets.unionByName(larger)
+    baskets = distinct.join(numbered, "item").groupBy("basket").agg(
+        F.collect_list("at").alias("held")
+    )
+    baskets = written(baskets.where(F.size("held") > 1).select("held"), "baskets")
+    level = None
+    for size in range(2, max_size + 1):
+        heads = [([], [], list(range(len(names))))] if level is None else _heads(level, size - 2)
+        level = _next_level(baskets, heads, numbered, len(names), least)
+        if level is None:
+            break
+        levels.append(level.select("items", "support"))
+    return reduce(DataFrame.unionByName, levels)
+
+
+def _heads(level: DataFrame, length: int) -> Iterable:
+    """Sets of one size that differ in the last item only, with these items."""
+    head = [F.slice(c, 1, length).alias(c) for c in ("positions", "items")]
+    lasts = F.array_sort(F.collect_list(F.element_at("positions", -1))).alias("lasts")
+    return level.groupBy(*head).agg(lasts).where(F.size("lasts") > 1).toLocalIterator()
+
+
+def _next_level(
+    baskets: DataFrame, heads: Iterable, numbered: DataFrame, width: int, least: int
+) -> DataFrame | None:
+    """Frequent sets one larger than those described by ``heads``.
+
+    A head is ``(positions, items, lasts)``: each of ``lasts`` after the head makes a
+    frequent set, so any two of them after the head make a candidate. Heads arrive one by
+    one and are counted in blocks, so neither the driver nor a task holds all of them.
+    """
+    spark = baskets.sparkSession
+    parts = []
+    for block in _blocks(heads):
+        table = spark.createDataFrame(
+            [(g, positions, items) for g, (positions, items, _, _) in enumerate(block)],
+            T.StructType([
+                T.StructField("g", T.IntegerType()),
+                T.StructField("positions", T.ArrayType(T.IntegerType())),
+                T.StructField("items", T.ArrayType(numbered.schema["item"].dataType)),
+            ]),
+        )
+        counter = _pair_counter([(p, xs, lasts) for p, _, xs, lasts in block], width)
+        counts = baskets.mapInArrow(counter, "g int, x int, y int, n bigint")
+        counts = counts.groupBy("g", "x", "y").agg(F.sum("n").alias("support"))
+        first = numbered.select(F.col("at").alias("x"), F.col("item").alias("_x"))
+        second = numbered.select(F.col("at").alias("y"), F.col("item").alias("_y"))
+        frequent = counts.where(F.col("support") >= least).join(table, "g")
+        frequent = frequent.join(first, "x").join(second, "y")
+        parts.append(
+            written(
+                frequent.select(
+                    F.concat("positions", F.array("x", "y")).alias("positions"),
+                    F.concat("items", F.array("_x", "_y")).alias("items"),
+                    "support",
+                ),
+                "level",
+            )
+        )
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def _blocks(heads: Iterable) -> Iterator[list]:
+    """Heads in blocks of up to ``COUNTERS`` counters; a long head is cut in rows."""
+    block, size = [], 0
+    for positions, items, lasts in heads:
+        rows = max(1, COUNTERS // len(lasts))
+        for start in range(0, len(lasts), rows):
+            xs = lasts[start : start + rows]
+            if block and size + len(xs) * len(lasts) > COUNTERS:
+                yield block
+                block, size = [], 0
+            block.append((positions, items, xs, lasts))
+            size += len(xs) * len(lasts)
+    if block:
+        yield block
+
+
+def _pair_counter(block: list, width: int):
+    """Count, for every head, in how many baskets it occurs with two of its lasts.
+
+    The baskets of a batch become the rows of a 0/1 matrix. A product of the rows that hold
+    the head counts all pairs at once, so no pair of a basket becomes a row of data.
+    """
+    block = [tuple(np.array(part, dtype=np.int64) for part in entry) for entry in block]
+    step = max(1, CELLS // width)
+
+    # nested, so that tasks get it by value and need not have this package installed
+    def matrix(lists: pa.ListArray) -> np.ndarray:
+        row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+        held = np.zeros((len(lists), width), np.float32)
+        held[row, lists.flatten().to_numpy()] = 1
+        return held
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = [np.zeros((len(xs), len(lasts)), np.int64) for _, xs, lasts in block]
+        for batch in batches:
+            for start in range(0, batch.num_rows, step):
+                held = matrix(batch.column(0).slice(start, step))
+                for total, (head, xs, lasts) in zip(totals, block):
+                    rows = held[held[:, head].all(axis=1)] if len(head) else held
+                    total += (rows[:, xs].T @ rows[:, lasts]).astype(np.int64)
+        found = []
+        for g, (total, (_, xs, lasts)) in enumerate(zip(totals, block)):
+            i, j = np.nonzero(total)
+            ascending = xs[i] < lasts[j]
+            i, j = i[ascending], j[ascending]
+            found.append((np.full(len(i), g), xs[i], lasts[j], total[i, j]))
+        g, x, y, n = (np.concatenate(column) for column in zip(*found))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, pa.int32()) for c in (g, x, y)] + [pa.array(n, pa.int64())],
+            ["g", "x", "y", "n"],
+        )
+
+    return count
 
 
 def proper_subsets(items: Column) -> Column:

@@ -101,6 +101,17 @@ def test_itemsets_equal_brute_force(spark, support, max_size):
         assert all(got[s] >= n for s in combinations(items, len(items) - 1) if s)
 
 
+def test_small_blocks_and_chunks_change_nothing(spark, monkeypatch):
+    """Candidates over many scans and matrices of single rows."""
+    from grainfold.operators import itemsets
+
+    monkeypatch.setattr(itemsets, "COUNTERS", 5)
+    monkeypatch.setattr(itemsets, "CELLS", 1)
+    baskets = [{1, 2, 3, 4}, {1, 2, 3, 4}, {2, 3, 4, 5}, {1, 3, 5}]
+    got = as_dict(frequent_itemsets(pairs_of(spark, baskets), support=0.5))
+    assert got == brute_sets(baskets, 0.5, 10)
+
+
 def test_rules_by_hand(spark):
     sets = frequent_itemsets(pairs_of(spark, BASKETS))
     rules = {

@@ -24,3 +24,14 @@ def test_query_equals_sql(spark, con, name):
 
 def test_entry(spark):
     assert entry(spark).columns == ["locality", "n_photos", "tags"]
+
+
+@pytest.mark.parametrize("name", list(queries())[:11])
+def test_same_result_without_broadcasts(spark, con, settings, name):
+    """What holds for tables far beyond any broadcast: all joins sort and merge."""
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+    )
+    expected = con.execute(oracle_sql()[name]).df()
+    assert difference(queries()[name](spark, str(TABLES)), expected) is None
