@@ -45,25 +45,24 @@ def frequent_itemsets(
     distinct = pairs.select(F.col(basket).alias("basket"), F.col(item).alias("item"))
     distinct = written(distinct.dropna().distinct(), "pairs")
     least = support_threshold(support, distinct.select("basket").distinct().count())
-    singles = distinct.groupBy("item").agg(F.count(F.lit(1)).alias("support"))
-    singles = written(singles.where(F.col("support") >= least), "items")
-    levels = [singles.select(F.array("item").alias("items"), "support")]
-    if max_size < 2:
-        return levels[0]
-
-    names = [row["item"] for row in singles.select("item").orderBy("item").collect()]
+    counts = distinct.groupBy("item").agg(F.count(F.lit(1)).alias("support"))
+    singles = sorted(counts.where(F.col("support") >= least).collect())
     numbered = pairs.sparkSession.createDataFrame(
-        list(enumerate(names)),
-        T.StructType([T.StructField("at", T.IntegerType()), singles.schema["item"]]),
+        [(at, item, n) for at, (item, n) in enumerate(singles)],
+        T.StructType([T.StructField("at", T.IntegerType()), *counts.schema]),
     )
+    levels = [numbered.select(F.array("item").alias("items"), "support")]
+    if max_size < 2 or len(singles) < 2:
+        return levels[0]
+
     baskets = distinct.join(numbered, "item").groupBy("basket").agg(
         F.collect_list("at").alias("held")
     )
     baskets = written(baskets.where(F.size("held") > 1).select("held"), "baskets")
     level = None
     for size in range(2, max_size + 1):
-        heads = [([], [], list(range(len(names))))] if level is None else _heads(level, size - 2)
-        level = _next_level(baskets, heads, numbered, len(names), least)
+        heads = [([], [], list(range(len(singles))))] if level is None else _heads(level, size - 2)
+        level = _next_level(baskets, heads, numbered, len(singles), least)
         if level is None:
             break
         levels.append(level.select("items", "support"))

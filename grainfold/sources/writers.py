@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from grainfold.session import written
+
 
 def key_value_lines(rows: DataFrame, *columns: str) -> DataFrame:
     """Values joined by tabs; a null value leaves out its tab too."""
@@ -12,15 +14,20 @@ def key_value_lines(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.select(F.concat_ws("\t", *[F.col(c).cast("string") for c in columns]).alias("value"))
 
 
-def packed_tag_lines(tag_counts: DataFrame, parts: int = 16) -> DataFrame:
-    """``locality<tab>tag:n,tag:n,``, up to ``parts`` lines per locality.
+def packed_tag_lines(tag_counts: DataFrame, tags_per_line: int = 1000) -> DataFrame:
+    """``locality<tab>tag:n,tag:n,``, one line per locality if it has few tags.
 
-    A reader adds up the lines of a locality, so its tags are spread over several lines by
-    their hash and no task has to hold all tags of a popular locality.
+    A reader adds up the lines of a locality, so the tags of a popular one are spread by
+    their hash over as many lines as keep each at about ``tags_per_line``.
     """
+    tag_counts = written(tag_counts, "tags")
+    sizes = tag_counts.groupBy("locality").agg(F.count(F.lit(1)).alias("size"))
+    lines = F.ceil(F.col("size") / tags_per_line)
+    several = sizes.where(F.col("size") > tags_per_line).select("locality", lines.alias("lines"))
+    spread = tag_counts.join(written(several, "lines"), "locality", "left")
+    line = F.pmod(F.xxhash64("tag"), F.coalesce("lines", F.lit(1))).alias("line")
     entry = F.concat("tag", F.lit(":"), F.col("n").cast("string"), F.lit(","))
-    part = F.pmod(F.xxhash64("tag"), F.lit(parts)).alias("part")
-    packed = tag_counts.groupBy("locality", part).agg(
+    packed = spread.groupBy("locality", line).agg(
         F.array_join(F.array_sort(F.collect_list(entry)), "").alias("packed")
     )
     return packed.select(F.concat_ws("\t", "locality", "packed").alias("value"))

@@ -86,6 +86,18 @@ def test_stored_counts_with_colons_and_parts_add_up(spark, text_file):
     assert {tuple(r) for r in counts.collect()} == {("A", "x:y", 2), ("A", "z", 5), ("B", "ok", 1)}
 
 
+def test_many_tags_take_several_lines(spark, tmp_path):
+    from grainfold.sources import writers
+
+    rows = [("A", f"t{i}", i) for i in range(100)] + [("B", "x", 1)]
+    counts = spark.createDataFrame(rows, "locality string, tag string, n bigint")
+    out = str(tmp_path / "tags")
+    writers.write_lines(writers.packed_tag_lines(counts, tags_per_line=10), out)
+    lines = lines_in(out)
+    assert sum(line.startswith("B") for line in lines) == 1 and 5 < len(lines) <= 11
+    assert sorted(map(tuple, readers.read_tag_counts(spark, out).collect())) == sorted(rows)
+
+
 def test_a_place_with_most_photos_is_split(spark, settings):
     """One place owns most photos: the sort-merge join reads it in several tasks."""
     settings(
