@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from grainfold.functions.numbers import euclidean
 from grainfold.operators.trim import trim_group_tail
-from grainfold.session import written
+from grainfold.session import local_table, written
 
 Centroid = tuple[int, Sequence[float]]
 Model = Sequence[Centroid]
@@ -150,4 +150,4 @@ def _as_table(points: DataFrame, features: Sequence[str], model: Model) -> DataF
         + [T.StructField(f, T.DoubleType()) for f in features]
     )
     data = [(cluster_id, 0, *map(float, centre)) for cluster_id, centre in model]
-    return points.sparkSession.createDataFrame(data, schema)
+    return local_table(points.sparkSession, data, schema)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from grainfold.functions.numbers import support_threshold
-from grainfold.session import written
+from grainfold.session import local_table, written
 
 # Counters per scan of the baskets; more candidates than that take more scans.
 COUNTERS = 4_000_000
@@ -47,7 +47,8 @@ def frequent_itemsets(
     least = support_threshold(support, distinct.select("basket").distinct().count())
     counts = distinct.groupBy("item").agg(F.count(F.lit(1)).alias("support"))
     singles = sorted(counts.where(F.col("support") >= least).collect())
-    numbered = pairs.sparkSession.createDataFrame(
+    numbered = local_table(
+        pairs.sparkSession,
         [(at, item, n) for at, (item, n) in enumerate(singles)],
         T.StructType([T.StructField("at", T.IntegerType()), *counts.schema]),
     )
@@ -88,7 +89,8 @@ def _next_level(
     spark = baskets.sparkSession
     parts = []
     for block in _blocks(heads):
-        table = spark.createDataFrame(
+        table = local_table(
+            spark,
             [(g, positions, items) for g, (positions, items, _, _) in enumerate(block)],
             T.StructType([
                 T.StructField("g", T.IntegerType()),

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from grainfold.functions.numbers import kept_rows
+from grainfold.session import local_table
 
 
 def trim_group_tail(
@@ -91,7 +92,7 @@ def _find_cuts(rows, group, order, keep, buckets, rank_rows) -> DataFrame:
             bounds = region["bounds"] + [(None, None)] * (depth - len(region["bounds"]))
             data.append((key, region["need"], region["all"], *(v for b in bounds for v in b)))
         schema = T.StructType(types + [T.StructField(side, T.DoubleType()) for side in sides])
-        return rows.sparkSession.createDataFrame(data, schema)
+        return local_table(rows.sparkSession, data, schema)
 
     searching = {key for key, region in regions.items() if not region["all"]}
     while True:

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def local_session(cores: int | str = "*", **settings: str) -> SparkSession:
@@ -67,3 +70,14 @@ def drop_written(spark: SparkSession) -> None:
     """
     path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def local_table(spark: SparkSession, rows: Sequence[tuple], schema: StructType) -> DataFrame:
+    """A small table from rows on the driver.
+
+    Coming from Arrow, it is part of the plan and its exact size is known, so that Spark
+    broadcasts it; rows given as Python tuples would count as a table of unknown size, and
+    the other side of a join would be shuffled.
+    """
+    columns = {field.name: [row[i] for row in rows] for i, field in enumerate(schema)}
+    return spark.createDataFrame(pa.table(columns), schema)

@@ -168,3 +168,13 @@ def test_only_the_last_round_is_left_to_run(spark, line):
     plan = kmeans(line, XYZ, [(1, (0, 0, 0)), (2, (5, 0, 0))], 6)._jdf.queryExecution().toString()
     physical = plan[plan.index("Physical Plan"):]
     assert physical.count("Exchange") == 1 and "FileScan parquet" in physical
+
+
+def test_trim_never_shuffles_the_points(spark):
+    """Only folded rows are exchanged: all sides joined to the points are in the plan."""
+    rows = spark.range(1000).selectExpr("int(id % 3) g", "double(id) d", "0.0D x")
+    left = trim_group_tail(rows, "g", "d", ["x"], buckets=4, rank_rows=10)
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("LocalTableScan") == 2
+    for exchange in plan.split("Exchange hashpartitioning")[1:]:
+        assert "HashAggregate" in exchange.splitlines()[1]

@@ -112,6 +112,17 @@ def test_small_blocks_and_chunks_change_nothing(spark, monkeypatch):
     assert got == brute_sets(baskets, 0.5, 10)
 
 
+def test_items_are_numbered_without_a_shuffle(spark):
+    from pyspark.sql import types as T
+
+    from grainfold.session import local_table
+
+    fields = [T.StructField("at", T.IntegerType()), T.StructField("item", T.IntegerType())]
+    numbered = local_table(spark, [(0, 5)], T.StructType(fields))
+    plan = pairs_of(spark, BASKETS).join(numbered, "item")._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in plan and numbered.collect() == [(0, 5)]
+
+
 def test_rules_by_hand(spark):
     sets = frequent_itemsets(pairs_of(spark, BASKETS))
     rules = {
