@@ -9,7 +9,7 @@ measured below ``spark.sql.autoBroadcastJoinThreshold`` and sorts and merges oth
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,27 +30,42 @@ def count_by_lookup(facts: DataFrame, lookup: DataFrame, on: str, by: str) -> Da
 
 
 def sum_by_partner(
-    totals: DataFrame, partners: DataFrame, on: str, by: str, values: Sequence[str]
+    totals: DataFrame,
+    listings: DataFrame,
+    on: str,
+    by: str,
+    values: Sequence[str],
+    expand: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Sum ``values`` of one-row-per-key ``totals`` over the partners of each key.
 
+    ``listings`` holds the keys with their partners in column ``by``, or in a packed column
+    that ``expand`` turns into rows after the join, so that only packed rows are shuffled.
     A partner listed several times for a key counts as often as it is listed.
     """
-    listed = count_by(partners, on, by, n="_copies")
+    listed = count_by(listings, *listings.columns, n="_copies")
     joined = totals.join(listed, on)
+    if expand is not None:
+        joined = expand(joined)
     return joined.groupBy(by).agg(
         *[F.sum(F.col(value) * F.col("_copies")).alias(value) for value in values]
     )
 
 
 def mean_by_partner(
-    facts: DataFrame, partners: DataFrame, on: str, by: str, value: str, mean: str
+    facts: DataFrame,
+    listings: DataFrame,
+    on: str,
+    by: str,
+    value: str,
+    mean: str,
+    expand: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Mean of ``value`` over all fact and partner pairs with the same key."""
+    """Mean of ``value`` over all pairs of a fact and a partner listed for its key."""
     totals = facts.groupBy(on).agg(
         F.sum(value).alias("_sum"), F.count(value).alias("_count")
     )
-    sums = sum_by_partner(totals, partners, on, by, ["_sum", "_count"])
+    sums = sum_by_partner(totals, listings, on, by, ["_sum", "_count"], expand)
     return sums.select(by, (F.col("_sum") / F.col("_count")).alias(mean))
 
 

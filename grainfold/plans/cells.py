@@ -25,10 +25,12 @@ def measurements_per_researcher(
     A researcher whose samples have no valid measurement stays, with 0.
     """
     valid = sum_by(measurements, ["sample"], range_flag(ranges), "n")
-    researchers = explode_list(
-        experiments.select("sample", "researchers"), "researchers", ";", "researcher", trim=True
-    )
-    counts = sum_by_partner(valid, researchers, "sample", "researcher", ["n"])
+    listings = experiments.select("sample", "researchers")
+
+    def expand(rows: DataFrame) -> DataFrame:
+        return explode_list(rows, "researchers", ";", "researcher", trim=True)
+
+    counts = sum_by_partner(valid, listings, "sample", "researcher", ["n"], expand)
     return counts.orderBy(F.desc("n"), "researcher")
 
 

@@ -11,8 +11,14 @@ from grainfold.operators.rows import explode_list
 
 def genre_average_rating(ratings: DataFrame, movies: DataFrame) -> DataFrame:
     """``genre, avg_rating``"""
-    genres = explode_list(movies.select("movie_id", "genres"), "genres", "|", "genre")
-    return mean_by_partner(ratings, genres, "movie_id", "genre", "rating", "avg_rating")
+    listings = movies.select("movie_id", "genres")
+
+    def expand(rows: DataFrame) -> DataFrame:
+        return explode_list(rows, "genres", "|", "genre")
+
+    return mean_by_partner(
+        ratings, listings, "movie_id", "genre", "rating", "avg_rating", expand
+    )
 
 
 def most_rated_titles(ratings: DataFrame, movies: DataFrame) -> DataFrame:

@@ -441,7 +441,7 @@ def trim_group_tail(spark, sf):
     )
     kept = trim.trim_group_tail(
         written(items, "items"), "flag", "l_quantity", ["l_discount", "l_tax"],
-        keep=0.7, buckets=16, rank_rows=10,
+        keep=0.7, buckets=256, rank_rows=1000,
     )
     keys = ["flag", "l_quantity", "l_discount", "l_tax"]
     return kept.groupBy(*keys).agg(F.sum("copies").alias("copies"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -27,6 +28,11 @@ def local_session(cores: int | str = "*", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+@functools.cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="grainfold-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
@@ -37,8 +43,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="grainfold-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _own_folder()
     return folder.rstrip("/")
 
 

@@ -8,6 +8,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from grainfold.session import local_session  # noqa: E402
 
+ROOT = Path(__file__).resolve().parent.parent
 TABLES = Path(os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001"))
 
 

@@ -1,4 +1,5 @@
 import pytest
+from conftest import ROOT
 from pyspark.sql import functions as F
 
 from grainfold.functions.text import (
@@ -72,3 +73,46 @@ def test_written_tables_go_to_the_shared_folder(spark):
     table = written(spark.range(3), "numbers")
     assert all(shared_folder(spark) in path for path in table.inputFiles())
     assert table.count() == 3
+
+
+class FakeSession:
+    """A session on a given master, with or without a shared folder."""
+
+    def __init__(self, master, folder=None):
+        self.sparkContext = type("Context", (), {"master": master})
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: folder)})
+
+
+def test_shared_folder_comes_from_the_session():
+    assert shared_folder(FakeSession("spark://host:7077", "hdfs://x/shared/")) == "hdfs://x/shared"
+    own = shared_folder(FakeSession("local[4]"))
+    assert own and own == shared_folder(FakeSession("local[*]"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(FakeSession("yarn"))
+
+
+def test_written_tables_can_be_dropped(tmp_path):
+    """In a process of its own, since all tables of the application go."""
+    import subprocess
+    import sys
+
+    script = f"""
+import os
+from grainfold.session import drop_written, local_session, written
+spark = local_session(1, **{{"spark.checkpoint.dir": "{tmp_path}"}})
+assert written(spark.range(3).where("id > 5"), "none").count() == 0
+assert os.listdir("{tmp_path}/grainfold")
+drop_written(spark)
+assert not os.listdir("{tmp_path}/grainfold")
+"""
+    subprocess.run([sys.executable, "-c", script], check=True, timeout=300, cwd=ROOT)
+
+
+def test_command_line_knows_all_jobs(capsys):
+    from grainfold.__main__ import JOBS, parser
+
+    assert len(JOBS) == 12
+    options = parser().parse_args(["gene-itemsets", "geo", "patients", "--support", "0.2"])
+    assert (options.support, options.max_size, options.output) == (0.2, 10, None)
+    options = parser().parse_args(["cell-clusters", "cells", "5", "--seed", "3", "--output", "o"])
+    assert (options.k, options.seed, options.iterations, options.output) == (5, 3, 10, "o")
