@@ -23,6 +23,13 @@ def split_fields(text: Column, sep: str) -> Column:
     return F.when(no_field, F.array().cast("array<string>")).otherwise(F.split(kept, pattern))
 
 
+def field_count(text: Column, sep: str) -> Column:
+    """How many fields ``split_fields`` gives, without splitting."""
+    kept = F.rtrim(text, F.lit(sep))
+    separators = F.length(kept) - F.length(F.replace(kept, F.lit(sep), F.lit("")))
+    return F.when((kept == "") & (text != ""), 0).otherwise(separators + 1)
+
+
 def trim_blanks(text: Column) -> Column:
     return F.trim(text, F.lit(BLANKS))
 

@@ -2,7 +2,7 @@
 
 Rows whose numbers do not parse are dropped, or raise with ``strict=True``. Files with a
 fixed layout go through the CSV source, which parses only the columns a query needs; files
-with rules on the number of fields go through the text source.
+with lines of different width go through the text source.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainfold.functions.text import split_fields
+from grainfold.functions.text import field_count, split_fields
 
 Path = str | list[str]
 Layout = dict[str, str]
@@ -65,16 +65,6 @@ def _typed(
     return typed.where(reduce(and_, numbers)) if numbers else typed
 
 
-def _split_lines(
-    spark: SparkSession, path: Path, sep: str, layout: Layout, min_fields: int, strict: bool
-) -> DataFrame:
-    """Lines with at least ``min_fields`` fields, not counting empty ones at the end."""
-    fields = spark.read.text(path).select(split_fields(F.col("value"), sep).alias("f"))
-    fields = fields.where(F.size("f") >= min_fields)
-    texts = [(name, F.get("f", F.lit(i)), type_) for i, (name, type_) in enumerate(layout.items())]
-    return _typed(fields, texts, strict)
-
-
 def _csv(
     spark: SparkSession,
     path: Path,
@@ -83,24 +73,34 @@ def _csv(
     need: Sequence[str],
     strict: bool,
     header: str | None = None,
+    min_fields: int = 0,
 ) -> DataFrame:
-    """Columns ``need`` of an unquoted CSV; lines with ``header`` in front are dropped."""
+    """Columns ``need`` of an unquoted CSV; lines with ``header`` in front are dropped.
+
+    With ``min_fields`` a line needs that many fields, not counting empty ones at the end:
+    some field from there on is not empty.
+    """
     texts = ", ".join(f"{name} string" for name in layout)
     rows = spark.read.csv(path, schema=texts, sep=sep, quote="")
     if header is not None:
         first = next(iter(layout))
         rows = rows.where(F.coalesce(F.col(first), F.lit("")) != header)
+    if min_fields:
+        rows = rows.where(F.coalesce(*list(layout)[min_fields - 1 :]).isNotNull())
     return _typed(rows, [(name, F.col(name), layout[name]) for name in need], strict)
 
 
 def read_photos(spark: SparkSession, path: Path) -> DataFrame:
-    return _split_lines(spark, path, "\t", PHOTO, 5, strict=False)
+    """Photos with at least five fields; missing texts are empty."""
+    return _csv(spark, path, "\t", PHOTO, list(PHOTO), strict=False, min_fields=5).fillna("")
 
 
 def read_places(
     spark: SparkSession, path: Path, min_fields: int = 7, strict: bool = False
 ) -> DataFrame:
-    return _split_lines(spark, path, "\t", PLACE, min_fields, strict)
+    """Places with at least ``min_fields`` fields; missing texts are empty."""
+    rows = _csv(spark, path, "\t", PLACE, list(PLACE), strict, min_fields=min_fields)
+    return rows.fillna("")
 
 
 def read_key_counts(
@@ -158,8 +158,8 @@ def read_ratings(
 
 def read_movies(spark: SparkSession, path: Path) -> DataFrame:
     """``movie_id, title, genres``; titles may hold commas, genres follow the last one."""
-    fields = spark.read.text(path).select(split_fields(F.col("value"), ",").alias("f"))
-    return fields.where(F.size("f") >= 3).select(
+    lines = spark.read.text(path).where(field_count(F.col("value"), ",") >= 3)
+    return lines.select(split_fields(F.col("value"), ",").alias("f")).select(
         F.get("f", F.lit(0)).alias("movie_id"),
         F.array_join(F.slice("f", F.lit(2), F.size("f") - 2), ",").alias("title"),
         F.element_at("f", -1).alias("genres"),
@@ -177,8 +177,8 @@ def read_patients(spark: SparkSession, path: Path) -> DataFrame:
 
 def read_itemsets(spark: SparkSession, path: Path, strict: bool = False) -> DataFrame:
     """``items, support`` from lines ``support<tab>item<tab>item...``."""
-    fields = spark.read.text(path).select(split_fields(F.col("value"), "\t").alias("f"))
-    fields = fields.where(F.size("f") >= 2)
+    lines = spark.read.text(path).where(field_count(F.col("value"), "\t") >= 2)
+    fields = lines.select(split_fields(F.col("value"), "\t").alias("f"))
     items = F.slice("f", F.lit(2), F.size("f") - 1)
     if strict:
         numbers = items.cast("array<int>")

@@ -53,11 +53,11 @@ def test_repeated_movie_lines_multiply(spark, text_file):
 
 def test_cancers_with_active_gene(spark, text_file, tmp_path):
     geo = text_file(
-        "GEO.txt", "patientid,geneid,expression_value", "pA,42,1250000", "pA,42,1249999.9",
+        "expression.csv", "patientid,geneid,expression_value", "pA,42,1250000", "pA,42,1249999.9",
         "pB,42,2000000", "pC,7,2000000",
     )
     patients = text_file(
-        "P.txt", "id,age,gender,postcode,diseases,drug_response", "pA,1,m,2,leukemia lymphoma,x",
+        "patients.csv", "id,age,gender,postcode,diseases,drug_response", "pA,1,m,2,leukemia lymphoma,x",
         "pB,1,m,2,leukemia flu,x", "pC,1,m,2,leukemia,x",
     )
     out = str(tmp_path / "out")
@@ -143,11 +143,11 @@ def test_proper_subsets(spark):
 def test_itemset_and_rule_jobs(spark, text_file, tmp_path):
     names = "abcdefg"
     geo = text_file(
-        "GEO.txt", "patientid,geneid,expression_value",
+        "expression.csv", "patientid,geneid,expression_value",
         *[f"{names[b]},{i},1250000" for b, items in enumerate(BASKETS) for i in items],
         "a,9,1249999", "x,1,2000000",
     )
-    patients = text_file("P.txt", *[f"{n},1,m,2,flu lymphoma,x" for n in names], "x,1,m,2,flu,x")
+    patients = text_file("patients.csv", *[f"{n},1,m,2,flu lymphoma,x" for n in names], "x,1,m,2,flu,x")
     sets, rules = str(tmp_path / "sets"), str(tmp_path / "rules")
     jobs.gene_itemsets(spark, geo, patients, output=sets)
     assert lines_in(sets) == ["3\t1", "3\t2", "2\t1\t2", "2\t1\t3", "2\t3"]

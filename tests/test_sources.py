@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from grainfold.functions.text import (
     after_first_comma,
+    field_count,
     occurs_in,
     split_fields,
     trim_blanks,
@@ -24,6 +25,7 @@ def one(spark, column, **values):
 )
 def test_split_drops_empty_fields_at_the_end(spark, text, fields):
     assert one(spark, split_fields(F.col("t"), ";"), t=text) == fields
+    assert one(spark, field_count(F.col("t"), ";"), t=text) == len(fields)
 
 
 def test_split_at_a_special_character(spark):
@@ -53,6 +55,19 @@ def test_only_needed_columns_are_parsed(spark, text_file):
     assert "ReadSchema: struct<rating:string>" in plan
 
 
+def test_field_counts_and_missing_texts(spark, text_file):
+    path = text_file(
+        "p.tsv", "p1\tu\t\t2001-01-01\tpl1", "p2\tu\tt\t2001-01-01\t\t16", "p3\tu\tt\t2001-01-01",
+        'p4\tu\ta "quote\t2001-01-01\tpl4\t16\textra', "p5\tu\tt\t2001-01-01\t\t",
+    )
+    rows = [tuple(r) for r in readers.read_photos(spark, path).collect()]
+    assert rows == [
+        ("p1", "u", "", "2001-01-01", "pl1", ""),
+        ("p2", "u", "t", "2001-01-01", "", "16"),
+        ("p4", "u", 'a "quote', "2001-01-01", "pl4", "16"),
+    ]
+
+
 def test_ratings_with_header(spark, text_file):
     path = text_file("r.csv", "movieId,userId,rating,timestamp", "m1,u,4.0,0")
     assert readers.read_ratings(spark, path, strict=True, header="movieId").count() == 1
