@@ -134,22 +134,31 @@ def _blocks(heads: Iterable) -> Iterator[list]:
         yield block
 
 
-def _pair_counter(block: list, width: int):
-    """Count, for every head, in how many baskets it occurs with two of its lasts.
+def _matrix_builder(width: int):
+    """A function from lists of positions to a 0/1 matrix.
 
-    The baskets of a batch become the rows of a 0/1 matrix. A product of the rows that hold
-    the head counts all pairs at once, so no pair of a basket becomes a row of data.
+    Nested, like all functions sent to tasks: they travel by value, so that executors need
+    not have this package installed.
     """
-    block = [tuple(np.array(part, dtype=np.int64) for part in entry) for entry in block]
-    step = max(1, CELLS // width)
 
-    # nested, so that tasks get it by value and need not have this package installed
     def matrix(lists: pa.ListArray) -> np.ndarray:
         row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
         held = np.zeros((len(lists), width), np.float32)
         held[row, lists.flatten().to_numpy()] = 1
         return held
 
+    return matrix
+
+
+def _pair_counter(block: list, width: int):
+    """Count, for every head, in how many baskets it occurs with two of its lasts.
+
+    The baskets of a batch become the rows of a 0/1 matrix. A product of the rows that hold
+    the head counts all pairs at once, so no pair of a basket becomes a row of data.
+    """
+    block = [tuple(np.array(part, dtype=np.int64) for part in entry) for entry in block]
+    matrix, step = _matrix_builder(width), max(1, CELLS // width)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = [np.zeros((len(xs), len(lasts)), np.int64) for _, xs, lasts in block]
         for batch in batches:
@@ -173,6 +182,72 @@ def _pair_counter(block: list, width: int):
     return count
 
 
+def count_sets(
+    sets: DataFrame, pairs: DataFrame, basket: str = "basket", item: str = "item"
+) -> DataFrame:
+    """``items, support``: how many baskets hold all items of each given set.
+
+    Sets that no basket holds are left out. Tasks count all sets of a block while they scan
+    the baskets, so sets and baskets are never multiplied into rows.
+    """
+    spark = pairs.sparkSession
+    sets = sets.select(F.array_sort("items").alias("items")).distinct()
+    members = sets.select(F.explode("items").alias("item")).distinct()
+    number = {row["item"]: at for at, row in enumerate(sorted(members.collect()))}
+    number_type = T.StructField("at", T.IntegerType())
+    numbered = local_table(
+        spark, [(at, member) for member, at in number.items()],
+        T.StructType([number_type, members.schema["item"]]),
+    )
+    distinct = pairs.select(F.col(basket).alias("basket"), F.col(item).alias("item"))
+    held = distinct.dropna().distinct().join(numbered, "item").groupBy("basket")
+    baskets = written(held.agg(F.collect_list("at").alias("held")).select("held"), "baskets")
+
+    fields = T.StructType([T.StructField("g", T.IntegerType()), sets.schema["items"]])
+    found = []
+    for block in _set_blocks(row["items"] for row in sets.toLocalIterator()):
+        counter = _set_counter([[number[i] for i in items] for items in block], len(number))
+        counts = baskets.mapInArrow(counter, "g int, n bigint").groupBy("g")
+        counts = counts.agg(F.sum("n").alias("support"))
+        table = local_table(spark, list(enumerate(block)), fields)
+        found.append(written(counts.join(table, "g").select("items", "support"), "counts"))
+    nothing = local_table(
+        spark, [], T.StructType([sets.schema["items"], T.StructField("support", T.LongType())])
+    )
+    return reduce(DataFrame.unionByName, found, nothing)
+
+
+def _set_blocks(sets: Iterable) -> Iterator[list]:
+    block, size = [], 0
+    for items in sets:
+        if size + len(items) > COUNTERS:
+            yield block
+            block, size = [], 0
+        block.append(items)
+        size += len(items)
+    if block:
+        yield block
+
+
+def _set_counter(block: list, width: int):
+    block = [np.array(positions, dtype=np.int64) for positions in block]
+    matrix, step = _matrix_builder(width), max(1, CELLS // width)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros(len(block), np.int64)
+        for batch in batches:
+            for start in range(0, batch.num_rows, step):
+                held = matrix(batch.column(0).slice(start, step)) > 0
+                for g, positions in enumerate(block):
+                    totals[g] += np.count_nonzero(held[:, positions].all(axis=1))
+        seen = np.nonzero(totals)[0]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(seen, pa.int32()), pa.array(totals[seen], pa.int64())], ["g", "n"]
+        )
+
+    return count
+
+
 def proper_subsets(items: Column) -> Column:
     """All subsets but the empty and the full one; none for fewer than two items."""
     masks = F.sequence(F.lit(1), F.pow(F.lit(2), F.size(items)).cast("int") - 2)
@@ -182,20 +257,23 @@ def proper_subsets(items: Column) -> Column:
     return F.when(F.size(items) > 1, subsets)
 
 
-def association_rules(itemsets: DataFrame, confidence: float = 0.6) -> DataFrame:
+def antecedents(itemsets: DataFrame) -> DataFrame:
+    """``items, support, antecedent``: every set with each of its proper subsets."""
+    subsets = F.explode(proper_subsets(F.col("items"))).alias("antecedent")
+    return itemsets.select("items", "support", subsets)
+
+
+def association_rules(
+    itemsets: DataFrame, confidence: float = 0.6, supports: DataFrame | None = None
+) -> DataFrame:
     """``antecedent, consequent, confidence`` of all rules that reach ``confidence``.
 
-    Every frequent set is split in every way. The support of the antecedent, itself a
-    frequent set, is looked up among the sets.
+    Every frequent set is split in every way. The support of the antecedent is looked up
+    among the sets, where it is a frequent set itself, or in ``supports`` if that is given.
     """
-    splits = itemsets.select(
-        "items",
-        F.col("support").alias("_whole"),
-        F.explode(proper_subsets(F.col("items"))).alias("antecedent"),
-    )
-    parts = itemsets.select(
-        F.col("items").alias("antecedent"), F.col("support").alias("_part")
-    )
+    splits = antecedents(itemsets).withColumnRenamed("support", "_whole")
+    known = itemsets if supports is None else supports
+    parts = known.select(F.col("items").alias("antecedent"), F.col("support").alias("_part"))
     ratio = F.col("_whole").cast("double") / F.col("_part")
     return (
         splits.join(parts, "antecedent")

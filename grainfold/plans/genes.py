@@ -8,7 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grainfold.operators.folds import count_by, sum_by_partner
-from grainfold.operators.itemsets import association_rules, frequent_itemsets
+from grainfold.operators.itemsets import (
+    antecedents,
+    association_rules,
+    count_sets,
+    frequent_itemsets,
+)
 from grainfold.operators.rows import explode_list, where_at_least, where_member
 from grainfold.session import written
 
@@ -65,7 +70,18 @@ def gene_itemsets(
     return sets.select("support", "items").orderBy(F.desc("support"), "items")
 
 
-def gene_rules(itemsets: DataFrame, confidence: float = 0.6) -> DataFrame:
-    """``antecedent, consequent, confidence`` by falling confidence"""
-    rules = association_rules(written(itemsets, "itemsets"), confidence)
+def gene_rules(
+    itemsets: DataFrame, confidence: float = 0.6, pairs: DataFrame | None = None
+) -> DataFrame:
+    """``antecedent, consequent, confidence`` by falling confidence
+
+    With ``pairs``, as from ``active_genes``, antecedents are counted over the patients, so
+    that ``itemsets`` may be any selection of sets; without, they are looked up in it.
+    """
+    itemsets = written(itemsets, "itemsets")
+    supports = None
+    if pairs is not None:
+        asked = antecedents(itemsets).select(F.col("antecedent").alias("items"))
+        supports = count_sets(asked, pairs, "patientid", "geneid")
+    rules = association_rules(itemsets, confidence, supports)
     return rules.orderBy(F.desc("confidence"), "antecedent", "consequent")

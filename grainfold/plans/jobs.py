@@ -136,7 +136,15 @@ def gene_itemsets(
 
 
 def gene_rules(
-    spark: SparkSession, itemset_path: str, output: Output = None, confidence: float = 0.6
+    spark: SparkSession, itemset_path: str, output: Output = None, confidence: float = 0.6,
+    expression_path: str | None = None, patient_path: str | None = None,
 ) -> None:
-    rules = genes.gene_rules(readers.read_itemsets(spark, itemset_path), confidence)
+    """With expression and patients, antecedents are counted anew."""
+    pairs = None
+    if expression_path is not None and patient_path is not None:
+        pairs = genes.active_genes(
+            readers.read_expression(spark, expression_path),
+            readers.read_patients(spark, patient_path),
+        )
+    rules = genes.gene_rules(readers.read_itemsets(spark, itemset_path), confidence, pairs)
     _store(writers.rule_lines(rules), output)

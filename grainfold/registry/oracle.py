@@ -117,7 +117,7 @@ sets AS (
 frequent AS (SELECT s, n FROM sets, least WHERE n >= t)"""
 
 
-def _rules(sets: str, confidence: float) -> str:
+def _rules(sets: str, confidence: float, supports: str = "frequent") -> str:
     return f"""WITH {sets}, splits AS (
   SELECT s, n, unnest(range(1, CAST(pow(2, len(s)) AS INT) - 1)) AS mask FROM frequent
   WHERE len(s) > 1),
@@ -126,7 +126,7 @@ sides AS (
          list_filter(s, lambda x, pos: (mask >> (pos - 1)) & 1 = 0) AS c FROM splits),
 rules AS (
   SELECT array_to_string(a, ' ') AS antecedent, array_to_string(c, ' ') AS consequent,
-         sides.n::DOUBLE / f.n AS confidence FROM sides JOIN frequent f ON f.s = a)
+         sides.n::DOUBLE / f.n AS confidence FROM sides JOIN {supports} f ON f.s = a)
 SELECT antecedent, consequent, round(confidence, 6) AS confidence FROM rules
 WHERE confidence >= {confidence}::DOUBLE"""
 
@@ -135,6 +135,8 @@ GENE_RULES = _rules(SETS, CONFIDENCE)
 BASKETS = f"""baskets AS (
   SELECT l_orderkey AS patientid, list_sort(list(DISTINCT {GENE})) AS items
   FROM lineitem GROUP BY l_orderkey)"""
+COUNTED_SETS = f"""{SETS}, {BASKETS}, found AS (
+  SELECT s, count(*) AS n FROM frequent JOIN baskets ON list_has_all(items, s) GROUP BY s)"""
 MANY = ", ".join(
     f"({i}, {0.1 * i!r}::DOUBLE, {0.07 * i!r}::DOUBLE, {3.0 - 0.1 * i!r}::DOUBLE)"
     for i in range(1, 31)
@@ -266,6 +268,9 @@ ORACLE: dict[str, str] = {
     "random_clusters": f"WITH {POINTS} SELECT count(*) AS n FROM points",
     "frequent_itemsets": f"""WITH {PART_SETS}
         SELECT array_to_string(s, ' ') AS items, n AS support FROM frequent""",
+    "count_sets": f"""WITH {COUNTED_SETS}
+        SELECT array_to_string(s, ' ') AS items, n AS support FROM found""",
+    "recounted_rules": _rules(COUNTED_SETS, CONFIDENCE, "found"),
     "proper_subsets": f"""WITH {BASKETS}, splits AS (
         SELECT items, unnest(range(1, CAST(pow(2, len(items)) AS INT) - 1)) AS mask FROM baskets
         WHERE len(items) > 1)

@@ -216,7 +216,7 @@ def scan_experiments(spark, sf):
 
 
 def scan_clusters(spark, sf):
-    """Means per supplier written as a cluster model and read back."""
+    """Maxima per supplier written as a cluster model and read back."""
     means = tables.table(spark, sf, "lineitem").groupBy("l_suppkey").agg(
         F.count("*").alias("n"), *[F.max(c) for c in ("l_quantity", "l_discount", "l_tax")]
     )
@@ -493,6 +493,25 @@ def frequent_itemsets(spark, sf):
     return sets.select(joined("items").alias("items"), "support")
 
 
+def count_sets(spark, sf):
+    """In how many of all orders the sets of the urgent orders occur."""
+    counts = itemsets.count_sets(
+        _sets(spark, sf), tables.order_expression(spark, sf), "patientid", "geneid"
+    )
+    return counts.select(joined("items").alias("items"), "support")
+
+
+def recounted_rules(spark, sf):
+    """Rules of the sets of urgent orders, with antecedents counted in all orders."""
+    pairs = tables.order_expression(spark, sf)
+    rules = genes.gene_rules(_sets(spark, sf), CONFIDENCE, pairs)
+    return rounded(
+        rules.select(joined("antecedent").alias("antecedent"),
+                     joined("consequent").alias("consequent"), "confidence"),
+        "confidence",
+    )
+
+
 def proper_subsets(spark, sf):
     """How often a set of discounts is a proper part of an order's discounts."""
     baskets = itemsets.to_baskets(tables.order_expression(spark, sf), "patientid", "geneid")
@@ -529,6 +548,6 @@ QUERIES: dict[str, Query] = {
         count_by_lookup, sum_by_partner, count_distinct, distinct_items, to_baskets,
         min_support, most_rated_titles, top_n_per_group, first_rows, kept_per_group,
         trim_group_tail, assign_nearest, assign_nearest_of_many, centres, random_clusters,
-        frequent_itemsets, proper_subsets, association_rules,
+        frequent_itemsets, count_sets, recounted_rules, proper_subsets, association_rules,
     )
 }

@@ -123,6 +123,21 @@ def test_items_are_numbered_without_a_shuffle(spark):
     assert "BroadcastHashJoin" in plan and numbered.collect() == [(0, 5)]
 
 
+def test_given_sets_are_counted(spark, monkeypatch):
+    from grainfold.operators import itemsets
+
+    sets = [[1], [1, 2], [2, 3], [1, 2, 3], [4, 5], [9]]
+    asked = spark.createDataFrame([(s,) for s in sets], "items array<int>")
+    expected = {
+        tuple(s): n for s in sets if (n := sum(set(s) <= b for b in BASKETS))
+    }
+    assert as_dict(itemsets.count_sets(asked, pairs_of(spark, BASKETS))) == expected
+    monkeypatch.setattr(itemsets, "COUNTERS", 3)
+    monkeypatch.setattr(itemsets, "CELLS", 1)
+    assert as_dict(itemsets.count_sets(asked, pairs_of(spark, BASKETS))) == expected
+    assert as_dict(itemsets.count_sets(asked.limit(0), pairs_of(spark, BASKETS))) == {}
+
+
 def test_rules_by_hand(spark):
     sets = frequent_itemsets(pairs_of(spark, BASKETS))
     rules = {
@@ -153,6 +168,12 @@ def test_itemset_and_rule_jobs(spark, text_file, tmp_path):
     assert lines_in(sets) == ["3\t1", "3\t2", "2\t1\t2", "2\t1\t3", "2\t3"]
     jobs.gene_rules(spark, sets, output=rules, confidence=0.9)
     assert lines_in(rules) == ["3 \t1 \t1.0"]
+    # a file with one set only: its antecedents are not in it and must be counted
+    one_set, recounted = text_file("one.tsv", "2\t1\t3"), str(tmp_path / "recounted")
+    jobs.gene_rules(
+        spark, one_set, output=recounted, expression_path=geo, patient_path=patients
+    )
+    assert lines_in(recounted) == ["3 \t1 \t1.0", f"1 \t3 \t{2 / 3}"]
 
 
 @pytest.mark.skipif(
