@@ -1,6 +1,6 @@
 """The same results in DuckDB SQL, where SQL can express them."""
 
-WORDS = r"list_filter(regexp_split_to_array(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{breaks}'), w -> w <> '')"
+WORDS = r"list_filter(regexp_split_to_array(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{breaks}'), lambda x: x <> '')"
 
 
 def _words(text: str, breaks: str) -> str:
@@ -19,7 +19,7 @@ shingles AS MATERIALIZED (
         SELECT doc_id, unnest(CASE
             WHEN len(w) = 0 THEN []
             WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-            ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))
+            ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
         END) AS shingle FROM split
     )
 ),
