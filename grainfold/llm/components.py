@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from grainfold.session import written
@@ -25,6 +25,14 @@ def _among_smaller(links: DataFrame) -> DataFrame:
     return moved.unionByName(own).where("a < b").distinct()
 
 
+def _written(links: DataFrame) -> tuple[DataFrame, tuple]:
+    """Written links with their number and a sum of their hashes, observed on the way."""
+    seen = Observation()
+    hashes = F.sum(F.xxhash64("a", "b").cast("decimal(38)"))
+    table = written(links.observe(seen, F.count(F.lit(1)).alias("n"), hashes.alias("hashes")), "links")
+    return table, (seen.get["n"], seen.get["hashes"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of ``links`` (a, b): the smallest node it is linked with.
 
@@ -33,15 +41,11 @@ def components(links: DataFrame) -> DataFrame:
     null are ignored.
     """
     ordered = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    stars = written(ordered.where("a < b").distinct(), "links")
-    before = None
-    while True:
-        state = stars.agg(
-            F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38)"))
-        ).first()
-        if state == before or not state[0]:
+    stars, before = _written(ordered.where("a < b").distinct())
+    while before[0]:
+        stars, now = _written(_among_smaller(_toward_smaller(stars)))
+        if now == before:
             break
-        before = state
-        stars = written(_among_smaller(_toward_smaller(stars)), "links")
+        before = now
     centres = stars.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
     return stars.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(centres)

@@ -7,7 +7,7 @@ signature make buckets; candidates of a bucket are confirmed on full shingle set
 A bucket of m documents is never turned into its m * m pairs. Every member is compared with a
 leader first, links merge documents into components, and only pairs of different components are
 left. Where these are still many, the members are dealt anew by the rare shingles that two
-similar sets must share, and leader after leader is compared until few pairs are left.
+similar sets must share.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from grainfold.llm.components import components
@@ -33,6 +33,7 @@ ROWS = 4
 AGREEING = 0.53
 #: A bucket whose open pairs are at most so many times its members is compared in full.
 LIGHT = 8
+LEADERS = 64
 BLOCK = 1024
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -237,19 +238,20 @@ class Linker:
         self.sets = new if self.sets is None else self.sets.unionByName(new)
         return self.sets
 
-    def test(self, pairs: DataFrame) -> None:
-        """Verify written pairs and merge what they link."""
+    def test(self, pairs: DataFrame, read: bool = True) -> None:
+        """Verify written pairs and merge what they link; ``read``: their sets may not be known yet."""
         if pairs.isEmpty():
             return
-        ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-        new = confirmed(pairs, self.sets_of(ids), self.similar)
-        if self.labels is None:
-            self.labels = components(new)
-        else:
-            stars = self.labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
-            self.labels = components(new.unionByName(stars))
+        if read:
+            self.sets_of(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
+        new = written(confirmed(pairs, self.sets, self.similar), "new")
+        if new.isEmpty():
+            return
+        if self.labels is not None:
+            new = new.unionByName(self.labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        self.labels = components(new)
 
-    def test_leaders(self, pairs: DataFrame) -> None:
+    def test_leaders(self, pairs: DataFrame, read: bool = True) -> None:
         """Verify (member, leader) pairs, the likeliest of each member first.
 
         In a group of copies that first pair joins nearly all members, and pairs within a component
@@ -257,9 +259,9 @@ class Linker:
         """
         found = written(likely(pairs, self.table), "likely")
         first = found.groupBy("a").agg(F.max_by("b", "share").alias("b"))
-        self.test(written(first, "first"))
+        self.test(written(first, "first"), read)
         if self.labels is not None:
-            self.test(written(self.open(found.select("a", "b")), "rest"))
+            self.test(written(self.open(found.select("a", "b")), "rest"), read)
 
 
 def _spread(members: DataFrame) -> DataFrame:
@@ -295,10 +297,11 @@ def _is_light(light: int = LIGHT):
 
 
 def _rare_shingles(sets: DataFrame, similar: int) -> DataFrame:
-    """(key, doc_id): the rare shingles of a set, of which two similar sets share one at least.
+    """(key, doc_id, n, short): the rare shingles by which similar sets must meet.
 
-    The sets' shingles are put in one order, by the number of sets that hold them; with a similarity
-    of s, equal shingles must begin within the first n - ceil(s * n) + 1 of both sets.
+    All sets' shingles are put in one order, by the number of sets that hold them. Of two sets
+    with a similarity of s, the larger one has a shingle within its first n - ceil(s * n) + 1 that the
+    other has within its first n - ceil(2 * s / (1 + s) * n) + 1 (``short``).
     """
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,14 +314,16 @@ def _rare_shingles(sets: DataFrame, similar: int) -> DataFrame:
 
     rows = sets.mapInArrow(unpack, "doc_id long, key long")
     held = rows.groupBy("key").agg(F.count("*").alias("held")).where("held > 1")
-    # shingles of one set only come first in the order and never match
     ranked = rows.join(held, "key", "left").groupBy("doc_id").agg(
         F.count("*").alias("n"),
         F.array_sort(F.collect_list(F.when(F.col("held") > 1, F.struct("held", "key")))).alias("shared"),
     )
-    need = F.col("n") - F.ceil(F.col("n") * similar / 100) + 1 - (F.col("n") - F.size("shared"))
-    first = ranked.select("doc_id", F.explode(F.slice("shared", 1, F.greatest(need, F.lit(0)).cast("int"))).alias("s"))
-    return first.select(F.col("s.key").alias("key"), "doc_id")
+    # shingles of one set only come first in the order and never match
+    alone = F.col("n") - F.size("shared")
+    long = F.greatest(F.lit(0), F.col("n") - F.ceil(F.col("n") * similar / 100) + 1 - alone).cast("int")
+    short = F.col("n") - F.ceil(F.col("n") * 2 * similar / (100 + similar)) + 1 - alone
+    first = ranked.select("doc_id", "n", short.alias("last"), F.posexplode(F.slice("shared", 1, long)).alias("at", "s"))
+    return first.select(F.col("s.key").alias("key"), "doc_id", "n", (F.col("at") < F.col("last")).alias("short"))
 
 
 def near_duplicates(
@@ -373,23 +378,31 @@ def near_duplicates(
 
 
 def _deal_again(linker: Linker, ids: DataFrame) -> None:
-    """The exact way for crowded buckets: by shared rare shingles, leader after leader."""
+    """The exact way for crowded buckets: members meet by shared rare shingles.
+
+    Each round compares up to ``LEADERS`` sets of a bucket, that can be the smaller one of a similar pair,
+    with its members of other components, until no such set is left.
+    """
     ids = written(ids, "crowded")
     sets = linker.sets_of(ids).join(ids, "doc_id", "left_semi")
     members = written(_rare_shingles(sets, linker.similar), "rare")
     while True:
-        own = written(linker.labelled(members.select("key", "doc_id")), "rare")
-        buckets = written(_spread(own), "open")
-        heavy = buckets.where(~_is_light()).select("key")
-        pairs = likely(_light_pairs(own, buckets.where(_is_light())), linker.table)
-        linker.test(written(linker.open(pairs.select("a", "b")), "pairs"))
-        if heavy.isEmpty():
+        own = linker.labelled(members.select("key", "doc_id", "n", "short"))
+        mixed = own.groupBy("key").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), F.max("short").alias("some")
+        )
+        mixed = mixed.where("low <> high and some").select("key")
+        own = written(own.join(mixed, "key", "left_semi"), "rare")
+        if own.isEmpty():
             return
-        crowd = written(own.join(heavy, "key", "left_semi").select("key", "doc_id"), "rare")
-        leaders = crowd.groupBy("key").agg(F.min(F.col("doc_id").bitwiseXOR(F.col("key"))).alias("low"))
-        led = crowd.join(leaders, "key").withColumn("leader", F.col("low").bitwiseXOR(F.col("key")))
-        led = written(led.where("doc_id <> leader"), "led")
-        linker.test_leaders(
-            linker.open(led.select(F.col("doc_id").alias("a"), F.col("leader").alias("b")).distinct())
+        by_key = Window.partitionBy("key").orderBy("doc_id")
+        ranked = own.where("short").withColumn("rank", F.row_number().over(by_key))
+        leaders = ranked.where(F.col("rank") <= LEADERS).select(
+            "key", F.col("doc_id").alias("a"), F.col("n").alias("of"), F.col("component").alias("of_a")
         )
-        members = led.select("key", "doc_id")
+        leaders = written(leaders, "leaders")
+        pairs = own.join(leaders, "key").where("component <> of_a and (of < n or of = n and a < doc_id)")
+        pairs = pairs.select(F.col("doc_id").alias("a"), F.col("a").alias("b")).distinct()
+        linker.test_leaders(pairs, read=False)
+        done = leaders.select("key", F.col("a").alias("doc_id"), F.lit(True).alias("done"))
+        members = own.join(done, ["key", "doc_id"], "left").withColumn("short", F.expr("short and done is null"))
