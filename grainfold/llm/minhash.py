@@ -33,7 +33,7 @@ ROWS = 4
 AGREEING = 0.53
 #: A bucket whose open pairs are at most so many times its members is compared in full.
 LIGHT = 8
-LEADERS = 64
+LEADERS = 512
 BLOCK = 1024
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -212,7 +212,6 @@ class Linker:
 
     def __init__(self, docs: DataFrame, table: DataFrame, size: int, similar: int):
         self.docs, self.table, self.size, self.similar = docs, table, size, similar
-        self.links: DataFrame | None = None
         self.sets: DataFrame | None = None
         self.labels: DataFrame | None = None
 
@@ -229,21 +228,17 @@ class Linker:
         both = self.labelled(self.labelled(pairs, "a", "of_a"), "b", "of_b")
         return both.where("of_a <> of_b").drop("of_a", "of_b")
 
-    def sets_of(self, ids: DataFrame) -> DataFrame:
-        """Full sets of documents, read from the text once."""
-        if self.sets is not None:
-            ids = ids.join(self.sets.select("doc_id"), "doc_id", "left_anti")
-        texts = self.docs.select(F.col("doc_id").cast("long"), "text").join(ids, "doc_id", "left_semi")
-        new = written(full_sets(texts, self.size).distinct(), "sets")
-        self.sets = new if self.sets is None else self.sets.unionByName(new)
-        return self.sets
-
-    def test(self, pairs: DataFrame, read: bool = True) -> None:
-        """Verify written pairs and merge what they link; ``read``: their sets may not be known yet."""
-        if pairs.isEmpty():
-            return
-        if read:
-            self.sets_of(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
+    def read_sets(self, ids: DataFrame) -> None:
+        """Full sets of documents, from their texts, once for all tests.
+
+        Always by a merge join: the ids may be a broadcast on little data, not on much.
+        """
+        texts = self.docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
+        chosen = texts.join(ids.hint("merge"), "doc_id", "left_semi")
+        self.sets = written(full_sets(chosen, self.size).distinct(), "sets")
+
+    def test(self, pairs: DataFrame) -> None:
+        """Verify pairs whose sets have been read and merge what they link."""
         new = written(confirmed(pairs, self.sets, self.similar), "new")
         if new.isEmpty():
             return
@@ -251,17 +246,19 @@ class Linker:
             new = new.unionByName(self.labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
         self.labels = components(new)
 
-    def test_leaders(self, pairs: DataFrame, read: bool = True) -> None:
-        """Verify (member, leader) pairs, the likeliest of each member first.
 
-        In a group of copies that first pair joins nearly all members, and pairs within a component
-        need no comparison.
-        """
-        found = written(likely(pairs, self.table), "likely")
-        first = found.groupBy("a").agg(F.max_by("b", "share").alias("b"))
-        self.test(written(first, "first"), read)
-        if self.labels is not None:
-            self.test(written(self.open(found.select("a", "b")), "rest"), read)
+def _led(members: DataFrame) -> DataFrame:
+    """(key, a, b): each member a of a bucket with the bucket's leader b.
+
+    The leader is the member that meets most documents over all its buckets: in a group of edited copies
+    that is the text they were made from, to which all of them are similar even where
+    two copies are not.
+    """
+    met = members.groupBy("doc_id").agg(F.sum("m").alias("met"))
+    every = members.join(met, "doc_id")
+    leaders = every.groupBy("key").agg(F.max(F.struct("met", "doc_id")).alias("leader"))
+    led = every.join(leaders.select("key", F.col("leader.doc_id").alias("b")), "key")
+    return led.where("doc_id <> b").select("key", F.col("doc_id").alias("a"), "b")
 
 
 def _spread(members: DataFrame) -> DataFrame:
@@ -297,11 +294,12 @@ def _is_light(light: int = LIGHT):
 
 
 def _rare_shingles(sets: DataFrame, similar: int) -> DataFrame:
-    """(key, doc_id, n, short): the rare shingles by which similar sets must meet.
+    """(key, doc_id, n, left, short): the rare shingles by which similar sets must meet.
 
     All sets' shingles are put in one order, by the number of sets that hold them. Of two sets
     with a similarity of s, the larger one has a shingle within its first n - ceil(s * n) + 1 that the
-    other has within its first n - ceil(2 * s / (1 + s) * n) + 1 (``short``).
+    other has within its first n - ceil(2 * s / (1 + s) * n) + 1 (``short``). ``left`` is how many shingles of
+    the set come in the order from this one on.
     """
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,8 +320,11 @@ def _rare_shingles(sets: DataFrame, similar: int) -> DataFrame:
     alone = F.col("n") - F.size("shared")
     long = F.greatest(F.lit(0), F.col("n") - F.ceil(F.col("n") * similar / 100) + 1 - alone).cast("int")
     short = F.col("n") - F.ceil(F.col("n") * 2 * similar / (100 + similar)) + 1 - alone
-    first = ranked.select("doc_id", "n", short.alias("last"), F.posexplode(F.slice("shared", 1, long)).alias("at", "s"))
-    return first.select(F.col("s.key").alias("key"), "doc_id", "n", (F.col("at") < F.col("last")).alias("short"))
+    first = ranked.select("doc_id", "n", "shared", short.alias("last"), F.posexplode(F.slice("shared", 1, long)).alias("at", "s"))
+    left = F.col("n") - alone - F.col("at")
+    return first.select(
+        F.col("s.key").alias("key"), "doc_id", "n", left.alias("left"), (F.col("at") < F.col("last")).alias("short")
+    )
 
 
 def near_duplicates(
@@ -346,26 +347,22 @@ def near_duplicates(
         full.join(classes, ["print", "doc_id"], "left_semi").dropDuplicates(["doc_id", "print"]), "classes"
     )
     spread = reps.select("doc_id", F.explode("keys").alias("key")).distinct()
-    # by exclusive or with the bucket's key, each bucket has a leader of its own
-    buckets = spread.groupBy("key").agg(
-        F.count("*").alias("m"), F.min(F.col("doc_id").bitwiseXOR(F.col("key"))).alias("low")
-    )
-    shared = buckets.where("m > 1").select("key", F.col("low").bitwiseXOR(F.col("key")).alias("leader"))
+    shared = spread.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     members = written(spread.join(shared, "key"), "members")
+    led = written(_led(members), "led")
 
     linker = Linker(docs, reps.select("doc_id", "sketch"), size, similar)
-    led = members.where("doc_id <> leader").select(F.col("doc_id").alias("a"), F.col("leader").alias("b"))
-    linker.test_leaders(led.distinct())
+    linker.read_sets(members.select("doc_id").distinct())
+    linker.test(likely(led.select("a", "b").distinct(), linker.table).select("a", "b"))
 
-    rest = linker.labelled(members.where("doc_id <> leader").select("key", "doc_id"))
+    rest = linker.labelled(led.select("key", F.col("a").alias("doc_id")))
     rest = written(rest, "rest")
     open_buckets = written(_spread(rest), "open")
     light = open_buckets.where(_is_light())
     heavy = open_buckets.where(~_is_light())
-    pairs = written(likely(_light_pairs(rest, light), linker.table).select("a", "b"), "light")
+    linker.test(likely(_light_pairs(rest, light), linker.table).select("a", "b"))
     if not heavy.isEmpty():
         _deal_again(linker, rest.join(heavy, "key", "left_semi").select("doc_id").distinct())
-    linker.test(written(linker.open(pairs), "pairs"))
 
     # a document's class, then the component of the class
     labels = linker.labelled(reps.select("print", "doc_id")).select("print", F.col("component").alias("found"))
@@ -384,10 +381,12 @@ def _deal_again(linker: Linker, ids: DataFrame) -> None:
     with its members of other components, until no such set is left.
     """
     ids = written(ids, "crowded")
-    sets = linker.sets_of(ids).join(ids, "doc_id", "left_semi")
+    sets = linker.sets.join(ids, "doc_id", "left_semi")
     members = written(_rare_shingles(sets, linker.similar), "rare")
+    met = members.groupBy("doc_id").agg(F.count("*").alias("met"))
+    members = members.join(met, "doc_id")
     while True:
-        own = linker.labelled(members.select("key", "doc_id", "n", "short"))
+        own = linker.labelled(members.select("key", "doc_id", "n", "left", "short", "met"))
         mixed = own.groupBy("key").agg(
             F.min("component").alias("low"), F.max("component").alias("high"), F.max("short").alias("some")
         )
@@ -395,14 +394,18 @@ def _deal_again(linker: Linker, ids: DataFrame) -> None:
         own = written(own.join(mixed, "key", "left_semi"), "rare")
         if own.isEmpty():
             return
-        by_key = Window.partitionBy("key").orderBy("doc_id")
+        by_key = Window.partitionBy("key").orderBy(F.desc("met"), "doc_id")
         ranked = own.where("short").withColumn("rank", F.row_number().over(by_key))
         leaders = ranked.where(F.col("rank") <= LEADERS).select(
-            "key", F.col("doc_id").alias("a"), F.col("n").alias("of"), F.col("component").alias("of_a")
+            "key", F.col("doc_id").alias("a"), F.col("n").alias("of"), F.col("left").alias("left_a"), F.col("component").alias("of_a")
         )
         leaders = written(leaders, "leaders")
         pairs = own.join(leaders, "key").where("component <> of_a and (of < n or of = n and a < doc_id)")
+        # enough can be shared from here on; where it is not the first shared one, the first one tells
+        enough = linker.similar * (F.col("n") + F.col("of"))
+        pairs = pairs.where((100 + linker.similar) * F.least("left", "left_a") >= enough)
+        pairs = pairs.where(100 * F.col("of") >= linker.similar * F.col("n"))
         pairs = pairs.select(F.col("doc_id").alias("a"), F.col("a").alias("b")).distinct()
-        linker.test_leaders(pairs, read=False)
+        linker.test(linker.open(likely(pairs, linker.table).select("a", "b")))
         done = leaders.select("key", F.col("a").alias("doc_id"), F.lit(True).alias("done"))
         members = own.join(done, ["key", "doc_id"], "left").withColumn("short", F.expr("short and done is null"))
