@@ -18,7 +18,7 @@ from grainfold.session import written
 LIMIT = 2048
 GROUP = 20_000
 NODES = 4_000
-CACHED_PIECES = 1_500_000
+CACHED_PIECES = 600_000
 SUB_BATCH = 1024
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, row long"
@@ -322,27 +322,27 @@ def pack(pieces: DataFrame, limit: int = LIMIT, group: int = GROUP) -> DataFrame
     """
     groups = max(1, -(-pieces.count() // group))
 
-    def run(frame):
-        lengths = frame["length"].to_numpy()
-        order = np.argsort(-lengths, kind="stable")
+    def run(table: pa.Table) -> pa.Table:
+        lengths = table["length"].to_numpy()
         by_size: dict[int, list[int]] = {}
-        for i in order[::-1].tolist():
+        for i in np.argsort(-lengths, kind="stable")[::-1].tolist():
             by_size.setdefault(int(lengths[i]), []).append(i)
-        sequence = np.zeros(len(frame), np.int64)
-        offset = np.zeros(len(frame), np.int64)
-        base = int(frame["part"].iloc[0]) << 32
+        sequence = np.zeros(len(lengths), np.int64)
+        offset = np.zeros(len(lengths), np.int64)
+        base = table["part"][0].as_py() << 32
         for number, own in enumerate(bin_completion(lengths, limit)):
             at = 0
             for size in own:
                 i = by_size[size].pop()
                 sequence[i], offset[i] = base + number, at
                 at += size
-        return frame.drop(columns=["part", "row"]).assign(sequence_id=sequence, offset=offset)
+        packed = table.drop_columns(["part", "row"])
+        return packed.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
 
     names = [f for f in pieces.schema if f.name != "row"]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in names)
     dealt = pieces.withColumn("part", F.pmod(F.xxhash64("row"), F.lit(groups)))
-    return dealt.groupBy("part").applyInPandas(run, schema + ", sequence_id long, offset long")
+    return dealt.groupBy("part").applyInArrow(run, schema + ", sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, limit: int = LIMIT, keep_ids: bool = False) -> DataFrame:
