@@ -148,16 +148,18 @@ def with_language(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [
-                model.predict(ngrams(t)) if ok and model else ("und", 0.0)
-                for t, ok in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
-            ]
-            names, scores = zip(*found) if found else ((), ())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                ["doc_id", "held_out", "lang_pred", "score"],
-            )
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                found = [
+                    model.predict(ngrams(t)) if ok and model else ("und", 0.0)
+                    for t, ok in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+                ]
+                names, scores = zip(*found)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                    ["doc_id", "held_out", "lang_pred", "score"],
+                )
 
     rows = docs.select("doc_id", "held_out", "text", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")

@@ -18,7 +18,7 @@ from grainfold.session import written
 LIMIT = 2048
 GROUP = 20_000
 NODES = 4_000
-CACHED_PIECES = 600_000
+CACHED_PIECES = 300_000
 SUB_BATCH = 1024
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, row long"

@@ -198,14 +198,16 @@ def with_severity(docs: DataFrame, model: Model) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(at).to_pylist()
-            above = model.severity([t or "" for t in texts])
-            above[[not t for t in texts]] = 0.0
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(above[:, 0]), pa.array(above.sum(axis=1))],
-                [*batch.schema.names, "p_toxic", "severity"],
-            )
+        for whole in batches:
+            for start in range(0, whole.num_rows, 256):
+                batch = whole.slice(start, 256)
+                texts = batch.column(at).to_pylist()
+                above = model.severity([t or "" for t in texts])
+                above[[not t for t in texts]] = 0.0
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(above[:, 0]), pa.array(above.sum(axis=1))],
+                    [*batch.schema.names, "p_toxic", "severity"],
+                )
 
     schema = StructType([*docs.schema, StructField("p_toxic", DoubleType()), StructField("severity", DoubleType())])
     return docs.mapInArrow(run, schema)
