@@ -9,6 +9,9 @@ from operator import add, and_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: The largest double.
+LARGEST = 1.7976931348623157e308
+
 Ranges = Mapping[str, tuple[float, float]]
 
 
@@ -23,8 +26,14 @@ def range_flag(ranges: Ranges) -> Column:
 
 
 def euclidean(features: Sequence[str], point: Sequence[float]) -> Column:
+    """The distance, or the largest double where its square is beyond it."""
     gaps = [F.lit(float(value)) - F.col(name) for name, value in zip(features, point, strict=True)]
-    return F.sqrt(reduce(add, (gap * gap for gap in gaps)))
+    return F.least(F.sqrt(reduce(add, (gap * gap for gap in gaps))), F.lit(LARGEST))
+
+
+def all_finite(columns: Sequence[str]) -> Column:
+    """True when no column is null, NaN or infinite."""
+    return reduce(and_, (F.coalesce(F.abs(F.col(c)) <= LARGEST, F.lit(False)) for c in columns))
 
 
 def kept_rows(share: float, n: Column) -> Column:

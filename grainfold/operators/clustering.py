@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grainfold.functions.numbers import euclidean
+from grainfold.functions.numbers import LARGEST, all_finite, euclidean
 from grainfold.operators.trim import trim_group_tail
 from grainfold.session import local_table, written
 
@@ -43,10 +43,15 @@ def centroids_from(clusters: DataFrame, features: Sequence[str]) -> Model:
 
 
 def assign_nearest(points: DataFrame, features: Sequence[str], model: Model) -> DataFrame:
-    """Add ``cluster_id`` and ``dist`` of the nearest centroid; the lowest id wins a tie."""
+    """Add ``cluster_id`` and ``dist`` of the nearest centroid; the lowest id wins a tie.
+
+    Points with a feature that is null, NaN or infinite have no nearest centroid and are dropped,
+    whatever the number of centroids. Distances too large for a double are the largest double.
+    """
     if not model:
         raise ValueError("at least one centroid is needed")
     model = sorted(model)
+    points = points.where(all_finite(features))
     nearest = _nearest_compiled if len(model) <= COMPILED_CENTROIDS else _nearest_batched
     return nearest(points, features, model)
 
@@ -76,7 +81,7 @@ def _nearest_batched(points: DataFrame, features: Sequence[str], model: Model) -
         values = [column.to_numpy() for column in columns]
         for i, centre in enumerate(centres):
             squares = sum((c - v) * (c - v) for c, v in zip(centre, values))
-            dist = np.sqrt(squares)
+            dist = np.minimum(np.sqrt(squares), LARGEST)
             closer = dist < best
             best[closer], at[closer] = dist[closer], i
         return pd.DataFrame({"cluster_id": ids[at], "dist": best})

@@ -14,6 +14,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from grainfold.session import written
+
 
 def count_by(rows: DataFrame, *keys: str, n: str = "n") -> DataFrame:
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(n))
@@ -24,9 +26,14 @@ def sum_by(rows: DataFrame, keys: Sequence[str], value: Column, total: str) -> D
 
 
 def count_by_lookup(facts: DataFrame, lookup: DataFrame, on: str, by: str) -> DataFrame:
-    """Facts per ``by`` of the lookup row they point to; facts without one are dropped."""
-    per_key = count_by(facts, on, n="_n")
-    return sum_by(per_key.join(lookup, on), [by], F.col("_n"), "n")
+    """Facts per ``by`` of the lookup row they point to; facts without one are dropped.
+
+    Writes the lookup when called: its exact size decides whether it is broadcast, and then only
+    facts with a lookup row are folded and shuffled. A lookup too large for that is merged, and
+    Spark may split a key that owns many facts.
+    """
+    lookup = written(lookup.select(on, by), "lookup")
+    return count_by(facts.select(on).join(lookup, on), by)
 
 
 def sum_by_partner(
@@ -43,12 +50,11 @@ def sum_by_partner(
     that ``expand`` turns into rows after the join, so that only packed rows are shuffled.
     A partner listed several times for a key counts as often as it is listed.
     """
-    listed = count_by(listings, *listings.columns, n="_copies")
-    joined = totals.join(listed, on)
+    joined = totals.join(listings, on)
     if expand is not None:
         joined = expand(joined)
     return joined.groupBy(by).agg(
-        *[F.sum(F.col(value) * F.col("_copies")).alias(value) for value in values]
+        *[F.sum(value).alias(value) for value in values]
     )
 
 

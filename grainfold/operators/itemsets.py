@@ -248,9 +248,18 @@ def _set_counter(block: list, width: int):
     return count
 
 
+MOST_ITEMS = 20
+
+
 def proper_subsets(items: Column) -> Column:
-    """All subsets but the empty and the full one; none for fewer than two items."""
-    masks = F.sequence(F.lit(1), F.pow(F.lit(2), F.size(items)).cast("int") - 2)
+    """All subsets but the empty and the full one; none for fewer than two items.
+
+    A set of n items has 2**n - 2 of them, so sets of more than ``MOST_ITEMS`` raise an error.
+    """
+    size = F.size(items)
+    too_many = F.raise_error(F.format_string(f"%s items are over {MOST_ITEMS}", size.cast("string")))
+    size = F.when(size > MOST_ITEMS, too_many.cast("int")).otherwise(size)
+    masks = F.sequence(F.lit(1).cast("long"), F.call_function("shiftleft", F.lit(1).cast("long"), size) - 2)
     subsets = F.transform(
         masks, lambda mask: F.filter(items, lambda _, at: F.getbit(mask, at) == 1)
     )

@@ -16,10 +16,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grainfold.functions.numbers import kept_rows
+from grainfold.functions.numbers import all_finite, kept_rows
 from grainfold.session import local_table
 
 
+WIDE = 1e6
+
+
 def trim_group_tail(
     rows: DataFrame,
     group: str,
@@ -33,12 +36,12 @@ def trim_group_tail(
 
     Among equal ``by`` the smaller ``ties`` stay. The result has ``group``, ``by``, ``ties``
     and ``copies``: rows at the cut that are equal in all of these are given once, with the
-    number of them that is kept; elsewhere ``copies`` is 1. All ordering columns are doubles
-    without nulls. ``rank_rows`` bounds the rows of a group that are ranked in one task.
+    number of them that is kept; elsewhere ``copies`` is 1. All ordering columns are doubles;
+    rows with a null, NaN or infinite one are dropped first and do not count in n. ``rank_rows`` bounds the rows of a group that are ranked in one task.
     ``rows`` is scanned several times, so pass a table or a narrow projection of one.
     """
     order = [by, *ties]
-    rows = rows.select(group, *order)
+    rows = rows.select(group, *order).where(all_finite(order))
     cuts = _find_cuts(rows, group, order, keep, buckets, rank_rows)
     placed = rows.join(cuts, group)
     bounded = _bounded(placed, order)
@@ -133,7 +136,10 @@ def _split_regions(placed: DataFrame, group: str, order: Sequence[str], buckets:
     low = searched(lambda j: F.col(f"_low{j}"))
     high = searched(lambda j: F.col(f"_high{j}"))
     following = searched(lambda j: F.col(order[min(j + 1, len(order) - 1)]))
-    share = F.when(high > low, (value - low) / (high - low)).otherwise(0.0)
+    # over a wide range equal steps of the logarithm, so that a few huge values cost one round
+    wide = F.coalesce(high / 2 - low / 2 > WIDE, F.lit(False))
+    at, least, most = (F.when(wide, _squeezed(x)).otherwise(x) for x in (value, low, high))
+    share = F.when(most > least, (at - least) / (most - least)).otherwise(0.0)
     bucket = F.least(F.floor(share * buckets), F.lit(buckets - 1))
     counts = (
         placed.where(_in_region(bounded))
@@ -158,6 +164,10 @@ def _split_regions(placed: DataFrame, group: str, order: Sequence[str], buckets:
     )
 
 
+def _squeezed(value: Column) -> Column:
+    return F.signum(value) * F.log1p(F.abs(value))
+
+
 def _bounded(placed: DataFrame, order: Sequence[str]) -> Sequence[str]:
     """The ordering columns that are bounded in the region of at least one group."""
     return [name for j, name in enumerate(order) if f"_low{j}" in placed.columns]

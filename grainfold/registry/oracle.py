@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from grainfold.registry.queries import CONFIDENCE, MODEL, ROUNDS
+from grainfold.registry.queries import CONFIDENCE, MODEL, RANDOM, ROUNDS
 
 PLACES = """places AS (
   SELECT p_partkey AS place_id, p_size AS place_type_id,
@@ -41,9 +41,15 @@ CELLS = """cells AS (
 POINTS = f"""{CELLS}, points AS (
   SELECT row_number() OVER () AS pid, ly6c, cd11b, sca1 FROM cells
   WHERE fsc_a BETWEEN 1000 AND 90000 AND ssc_a BETWEEN 1 AND 45)"""
-FIRST = "c0 AS (SELECT * FROM (VALUES {}) t(cluster_id, ly6c, cd11b, sca1))".format(
-    ", ".join(f"({i}, " + ", ".join(f"{v}::DOUBLE" for v in c) + ")" for i, c in MODEL)
-)
+
+
+def _first(model) -> str:
+    values = ", ".join(f"({i}, " + ", ".join(f"{v!r}::DOUBLE" for v in c) + ")" for i, c in model)
+    return f"c0 AS (SELECT * FROM (VALUES {values}) t(cluster_id, ly6c, cd11b, sca1))"
+
+
+FIRST = _first(MODEL)
+SEEDED = _first(RANDOM)
 VALID = """CASE WHEN l_extendedprice BETWEEN 0 AND 50000 AND l_quantity BETWEEN 0 AND 25
            THEN 1 ELSE 0 END"""
 RESEARCHERS = """researchers AS (
@@ -63,12 +69,12 @@ def _nearest(points: str, centroids: str) -> str:
       FROM {points} p, {centroids} c)"""
 
 
-def _rounds(points: str) -> str:
+def _rounds(points: str, rounds: int = ROUNDS) -> str:
     steps = [
-        f"""c{i} AS (SELECT cluster_id, count(*) AS n, avg(ly6c) AS ly6c, avg(cd11b) AS cd11b,
+        f"""c{i} AS MATERIALIZED (SELECT cluster_id, count(*) AS n, avg(ly6c) AS ly6c, avg(cd11b) AS cd11b,
         avg(sca1) AS sca1 FROM {_nearest(points, f"c{i - 1}")} WHERE near = 1
         GROUP BY cluster_id)"""
-        for i in range(1, ROUNDS + 1)
+        for i in range(1, rounds + 1)
     ]
     return ", ".join(steps)
 
@@ -83,7 +89,7 @@ TRIMMED = f"""WITH {POINTS}, {FIRST}, ranked AS (
   SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY dist, ly6c, cd11b, sca1) AS r,
          count(*) OVER (PARTITION BY cluster_id) AS size
   FROM {_nearest('points', 'c0')} WHERE near = 1),
-kept AS (SELECT pid, ly6c, cd11b, sca1 FROM ranked WHERE r <= floor(0.9::DOUBLE * size) + 1),
+kept AS MATERIALIZED (SELECT pid, ly6c, cd11b, sca1 FROM ranked WHERE r <= floor(0.9::DOUBLE * size) + 1),
 {_rounds('kept')} {_model(f'c{ROUNDS}')}"""
 
 GENRES = """genres AS (
@@ -96,37 +102,39 @@ ILL_USERS = """ill AS (
   WHERE d IN ('BUILDING', 'MACHINERY', 'HOUSEHOLD'))"""
 
 GENE = "CAST(round(l_discount * 100) AS INT)"
-SETS = f"""pairs AS (
-  SELECT DISTINCT l_orderkey AS b, {GENE} AS i FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  WHERE l_quantity >= 5 AND o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')),
-least AS (SELECT greatest(1, floor(0.01::DOUBLE * count(DISTINCT b))) AS t FROM pairs),
-sets AS (
-  SELECT [i] AS s, count(*) AS n FROM pairs GROUP BY ALL
-  UNION ALL SELECT [x.i, y.i], count(*) FROM pairs x JOIN pairs y ON x.b = y.b AND x.i < y.i
-  GROUP BY ALL
-  UNION ALL SELECT [x.i, y.i, z.i], count(*) FROM pairs x JOIN pairs y ON x.b = y.b AND x.i < y.i
-  JOIN pairs z ON z.b = y.b AND y.i < z.i GROUP BY ALL),
-frequent AS (SELECT s, n FROM sets, least WHERE n >= t)"""
-PART_SETS = """pairs AS (
-  SELECT DISTINCT l_orderkey AS b, p_type AS i FROM lineitem JOIN part ON l_partkey = p_partkey),
-least AS (SELECT greatest(1, floor(0.05::DOUBLE * count(DISTINCT b))) AS t FROM pairs),
-sets AS (
-  SELECT [i] AS s, count(*) AS n FROM pairs GROUP BY ALL
-  UNION ALL SELECT [x.i, y.i], count(*) FROM pairs x JOIN pairs y ON x.b = y.b AND x.i < y.i
-  GROUP BY ALL),
-frequent AS (SELECT s, n FROM sets, least WHERE n >= t)"""
+
+
+def _frequent(pairs: str, support: float) -> str:
+    """All subsets of all baskets, counted: sets of any size."""
+    return f"""pairs AS MATERIALIZED (SELECT DISTINCT {pairs}),
+least AS MATERIALIZED (
+  SELECT greatest(1, floor({support}::DOUBLE * count(DISTINCT b))) AS t FROM pairs),
+own AS MATERIALIZED (SELECT list_sort(list(i)) AS items FROM pairs GROUP BY b),
+masks AS (SELECT items, unnest(range(1, CAST(pow(2, len(items)) AS INT))) AS mask FROM own),
+sets AS MATERIALIZED (
+  SELECT s, count(*) AS n FROM (
+    SELECT list_filter(items, lambda x, pos: (mask >> (pos - 1)) & 1 = 1) AS s FROM masks)
+  GROUP BY s),
+frequent AS MATERIALIZED (SELECT s, n FROM sets, least WHERE n >= t)"""
+
+
+SETS = _frequent(
+    f"""l_orderkey AS b, {GENE} AS i FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  WHERE l_quantity >= 5 AND o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')""", 0.01)
+PART_SETS = _frequent(
+    "l_orderkey AS b, p_type AS i FROM lineitem JOIN part ON l_partkey = p_partkey", 0.001)
 
 
 def _rules(sets: str, confidence: float, supports: str = "frequent") -> str:
-    return f"""WITH {sets}, splits AS (
+    return f"""WITH {sets}, splits AS MATERIALIZED (
   SELECT s, n, unnest(range(1, CAST(pow(2, len(s)) AS INT) - 1)) AS mask FROM frequent
   WHERE len(s) > 1),
-sides AS (
+sides AS MATERIALIZED (
   SELECT n, list_filter(s, lambda x, pos: (mask >> (pos - 1)) & 1 = 1) AS a,
          list_filter(s, lambda x, pos: (mask >> (pos - 1)) & 1 = 0) AS c FROM splits),
 rules AS (
   SELECT array_to_string(a, ' ') AS antecedent, array_to_string(c, ' ') AS consequent,
-         sides.n::DOUBLE / f.n AS confidence FROM sides JOIN {supports} f ON f.s = a)
+         sides.n::DOUBLE / f.n AS confidence FROM sides JOIN {supports} f ON array_to_string(f.s, ' ') = array_to_string(a, ' '))
 SELECT antecedent, consequent, round(confidence, 6) AS confidence FROM rules
 WHERE confidence >= {confidence}::DOUBLE"""
 
@@ -135,7 +143,7 @@ GENE_RULES = _rules(SETS, CONFIDENCE)
 BASKETS = f"""baskets AS (
   SELECT l_orderkey AS patientid, list_sort(list(DISTINCT {GENE})) AS items
   FROM lineitem GROUP BY l_orderkey)"""
-COUNTED_SETS = f"""{SETS}, {BASKETS}, found AS (
+COUNTED_SETS = f"""{SETS}, {BASKETS}, found AS MATERIALIZED (
   SELECT s, count(*) AS n FROM frequent JOIN baskets ON list_has_all(items, s) GROUP BY s)"""
 MANY = ", ".join(
     f"({i}, {0.1 * i!r}::DOUBLE, {0.07 * i!r}::DOUBLE, {3.0 - 0.1 * i!r}::DOUBLE)"
@@ -265,15 +273,15 @@ ORACLE: dict[str, str] = {
     "centres": f"""WITH {POINTS}, {FIRST} SELECT cluster_id, count(*) AS n,
         round(avg(ly6c), 6) AS ly6c, round(avg(cd11b), 6) AS cd11b, round(avg(sca1), 6) AS sca1
         FROM {_nearest('points', 'c0')} WHERE near = 1 GROUP BY cluster_id""",
-    "random_clusters": f"WITH {POINTS} SELECT count(*) AS n FROM points",
+    "random_clusters": f"WITH {POINTS}, {SEEDED}, {_rounds('points', 3)} {_model('c3')}",
     "frequent_itemsets": f"""WITH {PART_SETS}
         SELECT array_to_string(s, ' ') AS items, n AS support FROM frequent""",
     "count_sets": f"""WITH {COUNTED_SETS}
         SELECT array_to_string(s, ' ') AS items, n AS support FROM found""",
     "recounted_rules": _rules(COUNTED_SETS, CONFIDENCE, "found"),
-    "proper_subsets": f"""WITH {BASKETS}, splits AS (
-        SELECT items, unnest(range(1, CAST(pow(2, len(items)) AS INT) - 1)) AS mask FROM baskets
-        WHERE len(items) > 1)
+    "proper_subsets": f"""WITH {SETS}, splits AS (
+        SELECT s AS items, unnest(range(1, CAST(pow(2, len(s)) AS INT) - 1)) AS mask FROM frequent
+        WHERE len(s) > 1)
         SELECT array_to_string(list_filter(items, lambda x, pos: (mask >> (pos - 1)) & 1 = 1), ' ')
         AS items, count(*) AS n FROM splits GROUP BY ALL""",
     "association_rules": _rules(PART_SETS, 0.0),

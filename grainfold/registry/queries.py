@@ -19,10 +19,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 COUNTED: Ranges = {"fsc_a": (0, 50000), "ssc_a": (0, 25)}
 CLUSTERED: Ranges = {"fsc_a": (1000, 90000), "ssc_a": (1, 45)}
 MODEL = [(1, [0.5, 0.5, 0.5]), (2, [1.5, 1.5, 1.5]), (3, [2.5, 2.5, 2.5])]
-ROUNDS = 3
+ROUNDS = 10
+RANDOM = clustering.random_centroids(10, seed=7)
 SEGMENTS = ["BUILDING", "MACHINERY", "HOUSEHOLD"]
 URGENT = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
-ITEMSETS = {"support": 0.01, "max_size": 3, "active": 5, "cancers": URGENT}
+ITEMSETS = {"support": 0.01, "max_size": 10, "active": 5, "cancers": URGENT}
 CONFIDENCE = 0.05
 
 
@@ -474,11 +475,10 @@ def centres(spark, sf):
 
 
 def random_clusters(spark, sf):
-    """Seeded random first centroids; every point is in exactly one cluster."""
+    """Seeded random first centroids."""
     points = rows.where_in_range(tables.cells(spark, sf), CLUSTERED)
-    model = clustering.random_centroids(10, seed=7)
-    clusters = clustering.kmeans(points, cells.MARKERS, model, 3)
-    return clusters.agg(F.sum("n").alias("n"))
+    clusters = clustering.kmeans(points, cells.MARKERS, RANDOM, 3)
+    return rounded(clusters, *cells.MARKERS)
 
 
 # --- itemsets ----------------------------------------------------------------------------
@@ -489,7 +489,7 @@ def frequent_itemsets(spark, sf):
     pairs = tables.table(spark, sf, "lineitem").join(
         tables.table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey")
     )
-    sets = itemsets.frequent_itemsets(pairs, "l_orderkey", "p_type", 0.05, 2)
+    sets = itemsets.frequent_itemsets(pairs, "l_orderkey", "p_type", 0.001)
     return sets.select(joined("items").alias("items"), "support")
 
 
@@ -513,9 +513,8 @@ def recounted_rules(spark, sf):
 
 
 def proper_subsets(spark, sf):
-    """How often a set of discounts is a proper part of an order's discounts."""
-    baskets = itemsets.to_baskets(tables.order_expression(spark, sf), "patientid", "geneid")
-    subsets = baskets.select(F.explode(itemsets.proper_subsets(F.col("items"))).alias("items"))
+    """Of how many frequent sets a set is a proper part."""
+    subsets = _sets(spark, sf).select(F.explode(itemsets.proper_subsets(F.col("items"))).alias("items"))
     return folds.count_by(subsets.select(joined("items").alias("items")), "items")
 
 
@@ -524,7 +523,7 @@ def association_rules(spark, sf):
     pairs = tables.table(spark, sf, "lineitem").join(
         tables.table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey")
     )
-    sets = written(itemsets.frequent_itemsets(pairs, "l_orderkey", "p_type", 0.05, 2), "sets")
+    sets = written(itemsets.frequent_itemsets(pairs, "l_orderkey", "p_type", 0.001), "sets")
     rules = itemsets.association_rules(sets, 0.0)
     return rounded(
         rules.select(joined("antecedent").alias("antecedent"),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
+import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -30,7 +32,9 @@ def local_session(cores: int | str = "*", **settings: str) -> SparkSession:
 
 @functools.cache
 def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="grainfold-")
+    folder = tempfile.mkdtemp(prefix="grainfold-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def shared_folder(spark: SparkSession) -> str:

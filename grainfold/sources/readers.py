@@ -14,6 +14,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grainfold.functions.numbers import all_finite
 from grainfold.functions.text import field_count, split_fields
 
 Path = str | list[str]
@@ -135,9 +136,13 @@ def read_measurements(spark: SparkSession, path: Path, strict: bool = False) ->
 
 
 def read_cells(spark: SparkSession, path: Path, strict: bool = False) -> DataFrame:
-    """Scatter channels and the three markers that are clustered."""
+    """Scatter channels and the three markers that are clustered.
+
+    Rows with a marker that is NaN or infinite are dropped.
+    """
     need = ["sample", "fsc_a", "ssc_a", "ly6c", "cd11b", "sca1"]
-    return _csv(spark, path, ",", MEASUREMENT, need, strict, header="sample")
+    cells = _csv(spark, path, ",", MEASUREMENT, need, strict, header="sample")
+    return cells.where(all_finite(["ly6c", "cd11b", "sca1"]))
 
 
 def read_experiments(spark: SparkSession, path: Path) -> DataFrame:

@@ -85,6 +85,30 @@ def test_compiled_and_batched_distances_agree(spark):
         assert (row["cluster_id"], row["dist"]) == (nearest[1], pytest.approx(nearest[0]))
 
 
+ODD = [float("nan"), float("inf"), float("-inf"), None]
+
+
+@pytest.mark.parametrize("odd", [*ODD, 1e308])
+def test_odd_features_mean_the_same_for_every_k(spark, odd):
+    points = spark.createDataFrame([(0.1, 0.2, 0.3), (odd, 0.2, 0.3), (0.1, 0.2, odd)], "x double, y double, z double")
+    model = random_centroids(COMPILED_CENTROIDS, low=0, high=1, seed=2)
+    few = assign_nearest(points, XYZ, model).collect()
+    many = assign_nearest(points, XYZ, model + [(99, (50.0, 50.0, 50.0))]).collect()
+    assert sorted(few) == sorted(many)
+    assert len(few) == (3 if odd == 1e308 else 1)
+    assert all(math.isfinite(row["dist"]) for row in few)
+
+
+@pytest.mark.parametrize("odd", [*ODD, 1e308])
+def test_trim_ends_on_odd_values(spark, odd):
+    rows = [(1, float(i), 0.0) for i in range(3000)] + [(1, odd, 0.0)]
+    table = spark.createDataFrame(rows, "g int, v double, t double")
+    kept = trim_group_tail(table, "g", "v", ["t"], keep=0.5, buckets=16, rank_rows=10).collect()
+    n = 3001 if odd == 1e308 else 3000
+    assert sum(r["copies"] for r in kept) == n // 2 + 1
+    assert max(r["v"] for r in kept) == n // 2
+
+
 @pytest.mark.parametrize("size, kept", [(1, 1), (9, 9), (10, 10), (11, 10), (20, 19), (25, 23)])
 def test_trim_sizes(spark, size, kept):
     rows = spark.createDataFrame(

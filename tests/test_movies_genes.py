@@ -1,4 +1,3 @@
-import os
 from itertools import combinations
 
 import pytest
@@ -6,6 +5,7 @@ from conftest import lines_in
 from pyspark.sql import functions as F
 
 from grainfold.operators.itemsets import association_rules, frequent_itemsets, proper_subsets
+from grainfold.operators import itemsets
 from grainfold.plans import genes, jobs, movies
 from grainfold.sources import readers, writers
 
@@ -176,13 +176,19 @@ def test_itemset_and_rule_jobs(spark, text_file, tmp_path):
     assert lines_in(recounted) == ["3 \t1 \t1.0", f"1 \t3 \t{2 / 3}"]
 
 
-@pytest.mark.skipif(
-    not (os.environ.get("KNOWN_ITEMSETS") and os.environ.get("KNOWN_RULES")),
-    reason="files with known itemsets and rules are not named",
-)
-def test_known_rules(spark):
-    sets = readers.read_itemsets(spark, os.environ["KNOWN_ITEMSETS"], strict=True)
-    with open(os.environ["KNOWN_RULES"]) as known:
-        expected = sorted(known.read().splitlines())
-    lines = writers.rule_lines(genes.gene_rules(sets, 0.6)).collect()
-    assert sorted(r["value"] for r in lines) == expected
+def test_rules_with_two_items_on_a_side(spark, text_file):
+    lines = ["10\t1", "8\t2", "6\t3", "5\t4", "6\t1\t2", "4\t1\t3", "4\t2\t3", "3\t1\t2\t3", "4\t1\t4"]
+    sets = readers.read_itemsets(spark, text_file("sets.tsv", *lines), strict=True)
+    rules = writers.rule_lines(genes.gene_rules(sets, 0.6)).collect()
+    assert sorted(r["value"] for r in rules) == sorted([
+        "1 \t2 \t0.6", "2 \t1 \t0.75", "3 \t1 \t0.6666666666666666", "3 \t2 \t0.6666666666666666",
+        "1 3 \t2 \t0.75", "2 3 \t1 \t0.75", "4 \t1 \t0.8",
+    ])
+    low = writers.rule_lines(genes.gene_rules(sets, 0.3)).collect()
+    assert {"1 \t2 3 \t0.3", "2 \t1 3 \t0.375", "3 \t1 2 \t0.5", "1 2 \t3 \t0.5"} <= {r["value"] for r in low}
+
+
+def test_subsets_have_a_bound(spark):
+    sets = spark.createDataFrame([(list(range(40)),)], "items array<int>")
+    with pytest.raises(Exception, match="40 items are over 20"):
+        sets.select(itemsets.proper_subsets(sets["items"])).collect()
