@@ -108,6 +108,13 @@ def band_keys(signed: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Small batches: what numpy makes of one is several times its size."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Values and offsets of a list column of 64-bit hashes."""
     offsets = column.offsets.to_numpy()
@@ -127,7 +134,7 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int =
     """Per document: number of shingles, fingerprint of the set, short signature, band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             sets = shingle_sets(*_hashes(batch.column(1)), size)
             signed = signatures(sets, bands * rows)
             keys = band_keys(signed, bands, rows).view(np.int64)
@@ -150,7 +157,7 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int =
 
 def full_sets(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             sets = shingle_sets(*_hashes(batch.column(1)), size)
             packed = pa.array([s.tobytes() for s in sets], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), packed], ["doc_id", "hashes"])

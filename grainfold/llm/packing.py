@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import re
 import zlib
 from collections.abc import Iterator
@@ -112,11 +111,6 @@ def _pieces(text: str) -> list[str]:
     return [first, *pieces] if first else pieces
 
 
-@functools.cache
-def _cache(path: str) -> WordCache:
-    return WordCache(path)
-
-
 def cut(total: int, limit: int) -> list[tuple[int, int]]:
     """Start and length of the pieces of ``total`` tokens: full ones behind a shorter first."""
     if total <= limit:
@@ -135,7 +129,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, limit: int = LIMIT, keep_ids:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _cache(tokenizer)
+        cache = WordCache(tokenizer)  # its memory ends with the task
         row = TaskContext.get().partitionId() << 36
         for whole in batches:
             for at in range(0, whole.num_rows, SUB_BATCH):
