@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grainfold.llm.words import words
+from grainfold.llm.words import small_batches, words
 from grainfold.session import written
 
 #: Counts above this are not discounted.
@@ -102,6 +102,7 @@ def scores(docs: DataFrame, learn: Column) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("long"), "text", learn.alias("learn"))
     rows = rows.withColumn("row", F.xxhash64("doc_id", "text"))
+    small_batches(docs.sparkSession)
     tokens = _bigrams(rows, "row", "learn")
     pairs = written(tokens.where("learn").groupBy("h", "w").agg(F.sum("n").alias("c")), "bigrams")
     unigrams = written(pairs.groupBy("w").agg(F.sum("c").alias("c")), "words")

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from grainfold.llm.words import small_batches
 from grainfold.session import written
 
 #: Documents of each language that the models are trained on, at most about so many.
@@ -167,5 +168,6 @@ def with_language(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
 
 def languages(docs: DataFrame, fold: Column) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row; rows of fold 0 are not learned from."""
+    small_batches(docs.sparkSession)
     model = train(docs, fold != 0)
     return with_language(docs.select(F.col("doc_id").cast("long"), (fold == 0).alias("held_out"), "text"), model)

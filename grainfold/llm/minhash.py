@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from grainfold.llm.components import components
-from grainfold.llm.words import words
+from grainfold.llm.words import small_batches, words
 from grainfold.session import written
 
 SHINGLE = 5
@@ -347,6 +347,7 @@ def near_duplicates(
     two documents at the threshold miss each other in every band once in 200,000 times.
     Runs jobs when called.
     """
+    small_batches(docs.sparkSession)
     table = written(sketches(docs, bands, rows, size), "sketches")
     full = table.where("n_shingles > 0 and doc_id is not null")
     classes = full.groupBy("print").agg(F.min("doc_id").alias("doc_id"))

@@ -12,13 +12,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from grainfold.llm.words import small_batches
 from grainfold.session import written
 
 LIMIT = 2048
 GROUP = 20_000
 NODES = 4_000
-CACHED_PIECES = 300_000
-SUB_BATCH = 1024
+CACHED_PIECES = 100_000
+SUB_BATCH = 256
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, row long"
 
@@ -149,6 +150,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, limit: int = LIMIT, keep_ids:
                     [pa.array(list(c), k) for c, k in zip(columns, kinds)], names[: len(columns)]
                 )
 
+    small_batches(docs.sparkSession)
     schema = PIECES + (", ids array<int>" if keep_ids else "")
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 

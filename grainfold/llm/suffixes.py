@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grainfold.llm.minhash import ODD, mix64
+from grainfold.llm.words import small_batches
 from grainfold.session import written
 
 LENGTH = 200
@@ -145,6 +146,7 @@ def _strings(texts: DataFrame, length: int) -> DataFrame:
 
 def repeated_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(id_key, text_key, first, last): runs of starts whose ``length`` bytes also start elsewhere."""
+    small_batches(docs.sparkSession)
     keyed = _keyed(docs)
     table = written(units(keyed, length, gram), "units")
     names = table.groupBy("gram", "name").agg(F.count("*").alias("n"))

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from grainfold.llm.words import small_batches
 from grainfold.session import written
 
 #: Labelled documents that the model is fitted on, at most about so many of each class.
@@ -161,6 +162,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE, features: i
     cut at the terciles of the sample. Without labelled documents of both classes the model finds
     nothing toxic.
     """
+    small_batches(docs.sparkSession)
     sample = written(_sample(docs, labels, per_class), "sample")
     sizes = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
@@ -194,6 +196,7 @@ def with_severity(docs: DataFrame, model: Model) -> DataFrame:
     Whole texts are scored; null and empty ones have severity 0. Rows are independent: repeated
     rows and null ids need no care. Columns of these two names are replaced.
     """
+    small_batches(docs.sparkSession)
     docs = docs.drop("p_toxic", "severity")
     at = docs.columns.index("text")
 

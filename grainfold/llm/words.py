@@ -15,6 +15,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Hand texts to Python in batches of few documents, unless the session sets a size itself.
+
+    Spark's default of 10,000 rows is meant for numbers; as many texts are held by the JVM, by
+    Arrow and by the Python worker at a time.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, rows)
+
+
 def lowered(text: Column) -> Column:
     """A-Z to lower case; all other letters stay."""
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
