@@ -12,7 +12,7 @@ import functools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grainfold.llm.words import NOT_ALNUM, words
+from grainfold.llm.words import NOT_ALNUM, NOT_ALNUM_CASED, word_count, words
 from grainfold.session import written
 
 WINDOW = 10
@@ -60,7 +60,8 @@ def hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame
         return None
     if known.count() <= BROADCAST_WINDOWS:
         known = F.broadcast(known)
-    split = _keyed(docs).select(*KEY, words(F.col("text"), NOT_ALNUM).alias("words"))
+    keyed = _keyed(docs).select(*KEY, "text")
+    split = keyed.select(*KEY, words(F.col("text"), NOT_ALNUM).alias("words"))
     found = []
     for length in lengths:
         runs = split.select(*KEY, F.posexplode(_hashed_runs(F.col("words"), length)).alias("at", "hash"))
@@ -76,7 +77,9 @@ def hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame
             F.slice("words", p.start, p.length).alias("window"),
         )
     )
-    seen = split.join(places, KEY).select(*KEY, F.inline(verbatim)).distinct()
+    # only texts with places are split again
+    hit = keyed.join(places, KEY).select(*KEY, "places", words(F.col("text"), NOT_ALNUM).alias("words"))
+    seen = hit.select(*KEY, F.inline(verbatim)).distinct()
     verified = seen.join(windows.select("length", "hash", "window").distinct(), ["length", "hash", "window"])
     verified = written(verified.select(*KEY, "start", "length", "hash"), "verified")
     spans = verified.groupBy(*KEY).agg(F.array_sort(F.collect_set(F.struct("start", "length"))).alias("spans"))
@@ -110,7 +113,7 @@ def hit_report(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> Dat
     """
     rows = _keyed(docs).select(
         *KEY, F.col("doc_id").cast("long").alias("doc_id"),
-        F.size(words(F.col("text"), NOT_ALNUM)).cast("long").alias("n_words"),
+        word_count(F.col("text"), NOT_ALNUM_CASED).cast("long").alias("n_words"),
     )
     found = hits(docs, benchmark, size)
     if found is None:

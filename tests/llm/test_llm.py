@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import string
 import zlib
 from collections import Counter
 
@@ -19,7 +20,8 @@ from grainfold.llm import ann, chat, decontaminate, katz, language, minhash, pac
 from grainfold.llm.components import components
 from grainfold.llm.oracle import ORACLE
 from grainfold.llm.queries import QUERIES, TOKENIZER
-from grainfold.llm.words import fold
+from grainfold.llm import words as expressions
+from grainfold.llm.words import NOT_ALNUM, NOT_ALNUM_CASED, SPACES, fold, word_count
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 SENTENCE = "the quick brown fox jumps over the lazy dog while seven wizards mix potent elixirs behind old barns"
@@ -492,3 +494,15 @@ def test_pipeline_on_odd_rows(spark, empty):
                 # the two rows of 5 and the copy in 6 become one; the row without an id stays
                 assert table.count() == (left and 8)
         assert table.columns[:5] == ["doc_id", "piece", "start", "length", "ids_crc32"]
+
+
+def test_lowering_and_word_counts_of_every_character(spark):
+    chars = spark.range(0x110000).where("id not between 55296 and 57343")
+    text = F.decode(F.unhex(F.lpad(F.hex("id"), 8, F.lit("0"))), "UTF-32")
+    every = chars.select(F.concat(F.lit("A"), text, F.lit("Bz")).alias("text"))
+    every = every.unionByName(spark.createDataFrame([(None,), ("",), (" ",), ("A",), (" a B ",), ("  ",)], "text string"))
+    plain = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    assert every.where(~expressions.lowered(F.col("text")).eqNullSafe(plain)).isEmpty()
+    for breaks, cased in ((SPACES, SPACES), (NOT_ALNUM, NOT_ALNUM_CASED)):
+        counted = F.size(expressions.words(F.col("text"), breaks))
+        assert every.where(word_count(F.col("text"), cased) != counted).isEmpty()
