@@ -4,7 +4,8 @@ Vectors get one more dimension that makes their norms equal, so that the largest
 distance, and are then turned by a random rotation. Within a probed list the scan reads the rotated
 vectors block of dimensions by block. After each block a hypothesis test compares the partial distance,
 scaled to all dimensions, with the worst of the best found so far, and candidates that are too far with
-high confidence are abandoned. What is left is scored exactly on the original vectors.
+high confidence are abandoned. What is left is scored exactly on the original vectors. A share of the rows is scanned
+first, and the k-th score found there is the bound that a query brings to the others.
 """
 
 from __future__ import annotations
@@ -13,22 +14,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from grainfold.session import written
 
 NEAREST = 20
 SAMPLE = 20_000
-#: Vectors per list on average, lists at most, and lists probed: a share of them, and at least so many.
-PER_LIST = 128
+#: Lists at most (the square root of the rows up to then), and lists probed: a share of them, and at least so many.
 MOST_LISTS = 4_096
-PROBED, LEAST_PROBED = 0.15, 12
+PROBED, LEAST_PROBED = 0.6, 24
 BLOCK = 16
 #: Width of the test, in standard deviations of a rotated partial distance.
 CONFIDENCE = 2.1
-#: Vectors of a list scanned by one task at a time.
-PART = 2_000
+#: Vectors of a shard and queries of a block at most, on average; shards at least; pairs of them held at a time.
+SHARD, QUERIES, LEAST_SHARDS = 32_768, 8_192, 8
+PAIRS = 500_000
+#: How many times more shards each round of the search has covered than the one before.
+WIDER = 8
 SEED = 7
 
 
@@ -65,26 +68,55 @@ def _nearest(x: np.ndarray, centres: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def scan(query: np.ndarray, rotated: np.ndarray, k: int, keep: np.ndarray) -> np.ndarray:
-    """Rows that may be among the k nearest: partial distances, block by block, with early abandonment."""
+def scan_many(
+    queries: np.ndarray, rotated: np.ndarray, k: int, keep: np.ndarray, bound: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a query and a row that may be among its k nearest, for all queries of a list at once.
+
+    ``bound`` is a squared distance within which a query already has k vectors, or infinite; ``keep`` says which
+    rows are candidates of which query. Partial distances are taken block by block, with early abandonment of pairs.
+    """
     n = rotated.shape[1]
-    alive = np.flatnonzero(keep)
-    if len(alive) <= k:
-        return alive
-    partial = np.zeros(len(alive))
-    # the first k in full give the first bound
-    bound = np.sort(((rotated[alive[:k]] - query) ** 2).sum(axis=1))[-1]
-    for at in range(0, n, BLOCK):
-        end = min(n, at + BLOCK)
-        partial += ((rotated[alive, at:end] - query[at:end]) ** 2).sum(axis=1)
-        if end == n:
-            break
-        stay = partial * n / end <= bound * (1 + CONFIDENCE / np.sqrt(end)) ** 2
-        alive, partial = alive[stay], partial[stay]
-        if len(alive) > k:
-            probable = alive[np.argpartition(partial, k - 1)[:k]]
-            bound = min(bound, ((rotated[probable] - query) ** 2).sum(axis=1).max())
-    return alive[partial <= bound * (1 + 1e-9)]
+    if len(rotated) > k:
+        # the first rows in full give a first bound
+        few = rotated[: k + 1]
+        near = ((queries[:, None, :] - few[None, :, :]) ** 2).sum(axis=2)
+        near = np.sort(np.where(keep[:, : k + 1], near, np.inf), axis=1)[:, k - 1]
+        bound = np.minimum(bound, near * (1 + 1e-9))
+    whole, end = np.zeros(keep.shape), 0
+    # blocks of all pairs by matrix product while most of them are alive
+    while end < n and (end == 0 or 4 * np.count_nonzero(keep) > keep.size):
+        at, end = end, min(n, end + BLOCK)
+        q, x = queries[:, at:end], rotated[:, at:end]
+        whole += (q**2).sum(axis=1)[:, None] + (x**2).sum(axis=1) - 2 * (q @ x.T)
+        if end < n and len(rotated) > k:
+            # the k that look nearest so far, in full, tighten the bound
+            likely = np.argpartition(np.where(keep, whole, np.inf), k - 1, axis=1)[:, :k]
+            full = ((queries[:, None, :] - rotated[likely]) ** 2).sum(axis=2)
+            full = np.where(np.take_along_axis(keep, likely, axis=1), full, np.inf).max(axis=1)
+            bound = np.minimum(bound, full * (1 + 1e-9))
+        # products cancel: equal vectors may come out a little apart
+        keep = keep & (whole <= _limit(bound, end, n)[:, None] + 1e-9 * (bound[:, None] + 1))
+    alive, row = np.nonzero(keep)
+    partial = whole[alive, row]
+    while end < n:
+        at, end = end, min(n, end + BLOCK)
+        partial = partial + ((queries[alive, at:end] - rotated[row, at:end]) ** 2).sum(axis=1)
+        stay = partial <= _limit(bound, end, n)[alive] + 1e-9 * (bound[alive] + 1)
+        alive, row, partial = alive[stay], row[stay], partial[stay]
+    return alive, row
+
+
+def _limit(bound: np.ndarray, seen: int, n: int) -> np.ndarray:
+    """Largest partial distance over ``seen`` of n dimensions that the test lets pass."""
+    if seen == n:
+        return bound * (1 + 1e-9)
+    return bound * (1 + CONFIDENCE / np.sqrt(seen)) ** 2 * seen / n
+
+
+def scan(query: np.ndarray, rotated: np.ndarray, k: int, keep: np.ndarray) -> np.ndarray:
+    """Rows that may be among the k nearest of one query, of which nothing is known yet."""
+    return scan_many(query[None, :], rotated, k, keep[None, :], np.array([np.inf]))[1]
 
 
 def search(
@@ -96,8 +128,9 @@ def search(
     own query. Rows with a null id, or a vector that is null, zero or not finite or of another length than most
     take no part. Repeated rows of an id are one vector. Runs jobs when called; other columns are not read.
 
-    The index is fitted on at most about ``SAMPLE`` vectors and holds every row. Lists are scanned in parts of
-    about ``PART`` vectors, so that a list of copies is spread over tasks.
+    The index is fitted on at most about ``SAMPLE`` vectors and holds every row. Rows are dealt to shards by the hash
+    of their id, so that every shard has its share of each list and a list of copies is spread over tasks. A query
+    meets one shard first, then ``WIDER`` times as many in every round, each time with the k-th score found so far.
     """
     rows = vectors.select(
         F.col(id_column).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("x"),
@@ -116,7 +149,7 @@ def search(
     # at most about SAMPLE vectors
     sample = _lifted(np.array([r.x for r in sampled.select("x").orderBy("vec_id").collect()]), norm, False)
     turn = _rotation(sizes.n + 1)
-    lists = max(1, min(MOST_LISTS, count // PER_LIST, len(sample) // 8))
+    lists = max(1, min(MOST_LISTS, int(np.sqrt(count)), len(sample) // 8))
     centres = _centres(sample @ turn, lists)
     probed = min(lists, max(LEAST_PROBED, int(np.ceil(PROBED * lists))))
 
@@ -127,48 +160,65 @@ def search(
                 near = _nearest(_lifted(x, norm, False) @ turn, centres, 1)[:, 0]
                 yield pd.DataFrame({"list": near, "vec_id": batch["vec_id"], "x": batch["x"]})
 
-    def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                x = np.stack(batch["x"].to_numpy())
-                near = _nearest(_lifted(x, norm, True) @ turn, centres, probed)
-                yield pd.DataFrame({
-                    "list": near.ravel(), "query_id": np.repeat(batch["vec_id"].to_numpy(), probed),
-                    "x": np.repeat(batch["x"].to_numpy(), probed),
-                })
-
-    assigned = written(rows.select("vec_id", "x").mapInPandas(assign, "list long, vec_id long, x array<double>"), "lists")
-    # parts per list, by exact size: lists at most MOST_LISTS
-    parts = assigned.groupBy("list").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
-    asked = rows.where("query").select("vec_id", "x").mapInPandas(probe, "list long, query_id long, x array<double>")
-    stored = assigned.join(parts, "list").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
-    asked = asked.join(parts, "list").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    schema_list = "list long, vec_id long, x array<double>"
+    stored = written(rows.select("vec_id", "x").mapInPandas(assign, schema_list), "lists")
+    shards = max(LEAST_SHARDS, -(-count // SHARD))
+    queries = rows.where("query").select(F.col("vec_id").alias("query_id"), "x")
+    blocks = max(1, -(-queries.count() // QUERIES))
+    stored = stored.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)))
+    stored = stored.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def within(key, queries: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        none = pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
         if not len(queries) or not len(own):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
+            return none
         own = own.sort_values("vec_id")
         ids, x = own["vec_id"].to_numpy(), np.stack(own["x"].to_numpy())
         rotated = _lifted(x, norm, False) @ turn
-        out = []
-        for query, vector in zip(queries["query_id"], queries["x"]):
-            asked_at = (_lifted(vector[None, :], norm, True) @ turn)[0]
-            found = scan(asked_at, rotated, k, ids != query)
-            score = x[found] @ vector
-            best = np.lexsort((ids[found], -score))[:k]
-            out.append(pd.DataFrame({"query_id": query, "vec_id": ids[found][best], "score": score[best]}))
+        out = [none]
+        lists_of = own["list"].to_numpy()
+        step = max(1, PAIRS // len(own))
+        for at in range(0, len(queries), step):
+            part = queries.iloc[at : at + step]
+            asked_ids, vector = part["query_id"].to_numpy(), np.stack(part["x"].to_numpy())
+            least = part["least"].to_numpy(np.float64)
+            least = np.where(np.isnan(least), -np.inf, least - 1e-9 * np.abs(least))
+            bound = np.maximum(0, (vector**2).sum(axis=1) + norm - 2 * least)
+            turned = _lifted(vector, norm, True) @ turn
+            is_probed = np.zeros((len(part), lists), bool)
+            np.put_along_axis(is_probed, _nearest(turned, centres, probed), True, axis=1)
+            who, row = scan_many(turned, rotated, k, is_probed[:, lists_of] & (ids != asked_ids[:, None]), bound)
+            score = np.einsum("ij,ij->i", x[row], vector[who])
+            better = score >= least[who]
+            who, row, score = who[better], row[better], score[better]
+            order = np.lexsort((ids[row], -score, who))
+            who, row, score = who[order], row[order], score[order]
+            # place of a pair among those of its query
+            place = np.arange(len(who)) - np.searchsorted(who, who)
+            best = place < k
+            out.append(pd.DataFrame({
+                "query_id": asked_ids[who[best]], "vec_id": ids[row[best]], "score": score[best],
+            }))
         return pd.concat(out)
 
-    cells = asked.select("list", "part", "query_id", "x").groupBy("list", "part").cogroup(
-        stored.select("list", "part", "vec_id", "x").groupBy("list", "part")
-    )
-    found = cells.applyInPandas(within, "query_id long, vec_id long, score double")
-
-    def best(batch: pd.DataFrame) -> pd.DataFrame:
-        top = batch.sort_values(["score", "vec_id"], ascending=[False, True]).head(k)
-        return top.assign(rank=np.arange(1, len(top) + 1, dtype=np.int32))[["query_id", "rank", "vec_id", "score"]]
-
-    return found.groupBy("query_id").applyInPandas(best, schema)
+    best = vectors.sparkSession.createDataFrame([], "query_id long, vec_id long, score double")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    low, high = 0, 1
+    while low < shards:
+        least = best.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("least"))
+        own_hash = F.xxhash64("query_id")
+        steps = F.explode(F.sequence(F.lit(low), F.lit(min(high, shards) - 1)))
+        asked = queries.join(least, "query_id", "left").withColumn("step", steps)
+        asked = asked.withColumn("shard", F.pmod(F.pmod(own_hash, F.lit(shards)) + F.col("step"), F.lit(shards)))
+        asked = asked.withColumn("block", F.pmod(own_hash, F.lit(blocks)).cast("int"))
+        cells = asked.select("shard", "block", "query_id", "x", "least").groupBy("shard", "block").cogroup(
+            stored.select("shard", "block", "list", "vec_id", "x").groupBy("shard", "block")
+        )
+        found = cells.applyInPandas(within, "query_id long, vec_id long, score double").unionByName(best)
+        top = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        best = written(top.select("query_id", "vec_id", "score"), "best")
+        low, high = high, high * WIDER
+    return best.select("query_id", F.row_number().over(order).alias("rank"), "vec_id", "score")
 
 
 def _lifted(x: np.ndarray, norm: float, query: bool) -> np.ndarray:

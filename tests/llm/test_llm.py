@@ -99,6 +99,21 @@ def test_nearest_odd_vectors(spark):
     assert ann.search(table.where("vec_id > 100"), F.lit(True)).count() == 0
 
 
+def test_nearest_in_several_rounds_and_blocks(spark, monkeypatch):
+    for name, value in (("SHARD", 40), ("QUERIES", 10), ("LEAST_SHARDS", 2), ("WIDER", 2), ("LEAST_PROBED", 1_000)):
+        monkeypatch.setattr(ann, name, value)
+    x = np.random.default_rng(3).integers(-2, 3, (300, 6)).astype(float)
+    x[100:220] = x[0] = [2, 1, 0, 0, 0, 1]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = ann.search(table, F.col("vec_id") % 10 == 0).orderBy("query_id", "rank").collect()
+    whole = [i for i in range(300) if x[i].any()]
+    expected = []
+    for q in (i for i in whole if i % 10 == 0):
+        near = sorted((-(x[i] @ x[q]), i) for i in whole if i != q)[:20]
+        expected += [(q, at, i, -score) for at, (score, i) in enumerate(near, 1)]
+    assert [tuple(r) for r in found] == expected
+
+
 def test_abandoning_keeps_the_nearest():
     x = np.random.default_rng(1).standard_normal((3000, 65))
     kept = 0
