@@ -44,7 +44,7 @@ LOOSE = {
     "email": r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?(?:\(at\)|\[at\]) ?[A-Za-z0-9-]{1,63}+"
              r"(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]{2,63}+){1,4}",
     "phone": r"(?<![0-9+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9.-])",
-    "secret": r"(?i)(?<![A-Za-z0-9_])(?:password|passwd|pwd|secret|token|api[_-]?key) ?[=:] ?[^\s]{8,200}",
+    "secret": r"(?i)(?<![A-Za-z0-9_])(?:password|passwd|pwd|secret|token|api[_-]?key) ?[=:] ?[^\s]{8,}+",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 

@@ -458,6 +458,16 @@ def test_redaction(spark):
     assert found == {1: ("mail <EMAIL> or <PHONE>!", 24), 2: ("nothing here", 12), 3: (None, None)}
 
 
+def test_long_secrets_are_covered_whole(spark):
+    keys = ["a1B2c" * size for size in (3, 40, 41, 200, 4000)]
+    rows = [(i, f"user login password={keys[i % 5]} and more") for i in range(200)]
+    rows += [(i, "the token: whatever <") for i in range(200, 300)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in pii.with_candidates(table).where("doc_id < 200").collect():
+        assert [(s.kind, s.start, s.end) for s in r.candidates] == [("secret", 11, 20 + len(keys[r.doc_id % 5]))]
+    assert {r.text for r in pii.redacted(table).where("doc_id < 200").collect()} == {"user login <SECRET> and more"}
+
+
 def test_label_model_finds_the_reliable_labelers():
     good = dict(pattern=1, gazetteer=1, context=1, shape=1, n=50)
     bad = dict(pattern=0, gazetteer=0, context=-1, shape=0, n=50)
