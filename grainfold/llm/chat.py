@@ -16,7 +16,6 @@ from grainfold.session import written
 
 MARKS = r"^(?:[ \t]*>)+"
 LEAST_WORDS = 3
-DEPTH = 64
 
 
 def _lines(text: Column) -> Column:
@@ -51,6 +50,28 @@ def own_text(text: Column) -> Column:
     return F.regexp_replace(F.array_join(F.transform(own, lambda line: line["body"]), "\n"), r"^\s+|\s+$", "")
 
 
+def _paths(links: DataFrame) -> DataFrame:
+    """(conv_id, turn, path) of every message with a reply_to: the turns from the first of its thread to its own.
+
+    Each round puts the path of the message above in front, so that known stretches double, until all
+    begin with a message that replies to none.
+    """
+    done = None
+    front = links.select("conv_id", "turn", F.col("reply_to").alias("up"), F.array("turn").alias("path"))
+    while True:
+        known = front if done is None else front.unionByName(done)
+        above = known.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("next"), F.col("path").alias("head"))
+        # nothing above: a message that replies to none, the first of the thread
+        longer = front.join(above, ["conv_id", "up"], "left").select(
+            "conv_id", "turn", F.col("next").alias("up"), F.concat(F.coalesce("head", F.array("up")), "path").alias("path"))
+        longer = written(longer, "paths")
+        ended = longer.where("up is null")
+        done = ended if done is None else done.unionByName(ended)
+        front = longer.where("up is not null")
+        if front.isEmpty():
+            return done.select("conv_id", "turn", "path")
+
+
 def conversations(messages: DataFrame) -> DataFrame:
     """Messages in reply order: conv_id, turn, role, reply_to, thread, depth, path, text, n_quotes.
 
@@ -62,7 +83,7 @@ def conversations(messages: DataFrame) -> DataFrame:
 
     A passage of under ``LEAST_WORDS`` words links nothing. Null texts are empty; rows without conv_id or
     turn are kept as threads of their own, with no links. Equal rows count once; of several texts for one turn each keeps
-    its row, and replies go to the turn. Deeper than ``DEPTH`` replies, the rest hangs on that message's thread.
+    its row, and replies go to the turn. Threads may be of any depth: paths double in each round, which is written, and runs when this is called.
     """
     rows = messages.select(
         F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), "text"
@@ -84,28 +105,12 @@ def conversations(messages: DataFrame) -> DataFrame:
         F.max(F.struct((-F.col("level")).alias("l"), "turn"))["turn"].alias("reply_to"),
     ).select("conv_id", F.col("at").alias("turn"), "reply_to")
     links = written(linked, "replies")
-    # paths from the first message of a thread, one level of replies after the other
-    turns = rows.where("conv_id is not null and turn is not null").select("conv_id", "turn").distinct()
-    tree = turns.join(links, ["conv_id", "turn"], "left")
-    done = written(tree.where("reply_to is null").select(
-        "conv_id", "turn", F.col("turn").alias("thread"), F.array("turn").alias("path")), "threads")
-    front, depth = done, 0
-    while depth < DEPTH:
-        above = front.select("conv_id", F.col("turn").alias("reply_to"), "thread", "path")
-        front = links.join(above, ["conv_id", "reply_to"]).select(
-            "conv_id", "turn", "thread", F.concat("path", F.array("turn")).alias("path"))
-        front = written(front, "threads")
-        if front.isEmpty():
-            break
-        done, depth = done.unionByName(front), depth + 1
-    if depth == DEPTH:
-        rest = links.join(done.select("conv_id", "turn"), ["conv_id", "turn"], "left_anti")
-        done = done.unionByName(rest.select("conv_id", "turn", F.col("turn").alias("thread"), F.array("turn").alias("path")))
-    placed = done.join(links, ["conv_id", "turn"], "left")
+    paths = written(_paths(links), "threads")
+    placed = paths.join(links, ["conv_id", "turn"])
     result = rows.join(placed, ["conv_id", "turn"], "left")
     n_quotes = F.size(F.filter("passages", lambda p: p["level"] > 0)).cast("long")
     return result.select(
-        "conv_id", "turn", "role", "reply_to", F.coalesce("thread", "turn").alias("thread"),
+        "conv_id", "turn", "role", "reply_to", F.coalesce(F.col("path")[0], "turn").alias("thread"),
         F.coalesce(F.size("path") - 1, F.lit(0)).cast("long").alias("depth"),
         F.coalesce("path", F.array("turn")).alias("path"), own_text(F.col("text")).alias("text"), n_quotes.alias("n_quotes"),
     )

@@ -394,6 +394,16 @@ def test_chat(spark):
     assert chat.conversations(table.limit(0)).count() == 0
 
 
+def test_chat_of_two_hundred_replies(spark):
+    said = [f"this is message number {i}" for i in range(201)]
+    rows = [(1, 0, "u", said[0])] + [(1, i, "u", f"> {said[i - 1]}\n{said[i]}") for i in range(1, 201)]
+    rows += [(1, 201, "a", f"> {said[150]}\na branch of its own"), (2, 1, "u", f"> {said[5]}\n{said[0]}")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = {(r.conv_id, r.turn): (r.reply_to, r.thread, r.depth, r.path) for r in chat.conversations(table).collect()}
+    expected = {(1, i): (i - 1 if i else None, 0, i, list(range(i + 1))) for i in range(201)}
+    assert found == expected | {(1, 201): (150, 0, 151, [*range(151), 201]), (2, 1): (None, 1, 0, [1])}
+
+
 def test_decontamination_odd_rows(spark, odd, empty):
     w = plain_words(SENTENCE)
     items = [(1, SENTENCE), (2, " ".join(w[:10])), (3, "Quick, BROWN!"), (4, None), (5, "..."), (None, "lazy dog"), (2, "zzz")]
