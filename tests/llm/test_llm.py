@@ -394,6 +394,56 @@ def test_chat(spark):
     assert chat.conversations(table.limit(0)).count() == 0
 
 
+def test_chat_links_partial_quotes(spark):
+    first = "Dear all, the plan\nis ready for you.\n\nPlease read it soon.\nAsk me anything."
+    rows = [
+        (1, 0, first), (1, 1, "> Please read it soon.\n> Ask me anything.\nI will"), (1, 2, "> is ready for you.\nWhere is it"),
+        (1, 3, "> Dear all, the plan is\n> ready for you.\nrewrapped"), (1, 4, "Yes, agreed"), (1, 5, "> Yes, agreed\nfine"),
+        (1, 6, "Yes, agreed"), (1, 7, "> Yes, agreed\nwhose is it"), (1, 8, "Some more\nis ready for you."),
+        (1, 9, "> is ready for you.\nthe later one"), (1, 10, "> is ready for you.\n> Ask me anything.\nonly the first has both"),
+        (1, 11, "> is ready for you.\n> nobody wrote this one\nnot whole"), (2, 1, "> Ask me anything.\nanother conversation"),
+    ]
+    table = spark.createDataFrame([(c, t, "u", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")
+    found = {(r.conv_id, r.turn): r.reply_to for r in chat.conversations(table).collect()}
+    assert {k: v for k, v in found.items() if v is not None} == {
+        (1, 1): 0, (1, 2): 0, (1, 3): 0, (1, 5): 4, (1, 9): 8, (1, 10): 0}
+
+
+def plain_replies(texts):
+    """reply_to of each message of one conversation, given as lists of (quoted, lines or empty lines)."""
+    def parts(lines):
+        blocks = [" ".join(b.split("\n")) for b in "\n".join(lines).strip("\n").split("\n\n")]
+        return " ".join(" ".join(lines).split()), set(blocks), {x for x in lines if x}
+
+    own = {t: parts(lines) for t, (_, lines) in enumerate(texts) if any(lines)}
+    links = {}
+    for at, (quote, _) in enumerate(texts):
+        if any(quote):
+            run, blocks, lines = parts(quote)
+            earlier = [t for t in own if t < at]
+            many = len(run.split()) >= 3
+            whole = [t for t in earlier if own[t][0] == run][:1] if many else []
+            holders = [[t for t in earlier if want <= {own[t][0]} | own[t][1] | own[t][2]] for want in (blocks, lines)]
+            links[at] = next((h[-1] for h in (whole, *holders) if h and (many or len(h) == 1)), None)
+    return links
+
+
+def test_chat_equals_plain_links(spark, monkeypatch):
+    monkeypatch.setattr(chat, "RANGE", 4)
+    draw = np.random.default_rng(3)
+    said = ["yes", "no", "maybe so", "one two three", "four five six seven", ""]
+    pick = lambda most: [said[i] for i in draw.choice(6, draw.integers(0, most), p=[0.2, 0.2, 0.2, 0.1, 0.1, 0.2])]
+    talks = [[(pick(4), pick(5)) for _ in range(40)] for _ in range(15)]
+    squeezed = lambda lines: re.sub("\n\n+", "\n\n", "\n".join(lines).strip("\n")).split("\n")
+    talks = [[(squeezed(q), squeezed(x)) for q, x in talk] for talk in talks]
+    rows = [(c, t, "u", "\n".join([*("> " + x for x in q if any(q)), *x])) for c, talk in enumerate(talks) for t, (q, x) in enumerate(talk)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = {(r.conv_id, r.turn): r.reply_to for r in chat.conversations(table).collect()}
+    expected = {(c, t): at for c, talk in enumerate(talks) for t, at in plain_replies(talk).items()}
+    assert sum(at is not None for at in expected.values()) > 100
+    assert found == {k: expected.get(k) for k in found}
+
+
 def test_chat_of_two_hundred_replies(spark):
     said = [f"this is message number {i}" for i in range(201)]
     rows = [(1, 0, "u", said[0])] + [(1, i, "u", f"> {said[i - 1]}\n{said[i]}") for i in range(1, 201)]
