@@ -199,36 +199,75 @@ def _best_pair(sizes: Sizes, gap: int) -> tuple[int, int]:
     return int(a[k]), int(b[k])
 
 
-def fillings(sizes: Sizes, gap: int) -> list[tuple[int, ...]]:
-    """Undominated ways to fill the gap, least waste first and then fewest items.
-
-    Per number of items only the fullest way is kept: another one with as many, smaller items
-    is dominated by it. Longer ones start from the largest size that fits and go on
-    greedily, with the best pair at the end.
-    """
-    single = int(sizes.below[gap])
-    if not single:
-        return [()]
-    found = [(single,)]
-    if single < gap:
-        a, b = _best_pair(sizes, gap)
-        if a:
-            found.append((a, b))
-        taken: list[int] = []
-        rest = gap
-        while sum(found[-1]) < gap and (size := int(sizes.below[rest])):
+def _full(sizes: Sizes, gap: int) -> tuple[int, ...] | None:
+    """A quick way to fill the gap without waste, if there is one: one item, a pair, or the largest
+    sizes that fit with the best pair behind them."""
+    taken: list[int] = []
+    rest = gap
+    found = None
+    while found is None and (size := int(sizes.below[rest])):
+        pair = (size,) if size == rest else _best_pair(sizes, rest)
+        if sum(pair) == rest:
+            found = (*taken, *pair)
+        else:
             sizes.take(size)
             taken.append(size)
             rest -= size
-            a, b = _best_pair(sizes, rest)
-            if not a:
-                if (last := int(sizes.below[rest])):
-                    found.append((*taken, last))
-                break
-            found.append((*taken, a, b))
-        for size in taken:
-            sizes.give(size)
-    return sorted(set(found), key=lambda f: (gap - sum(f), len(f)))
+    for size in taken:
+        sizes.give(size)
+    return found
+
+
+def _dominated(own: tuple[int, ...], slack: int, others: int) -> bool:
+    """Whether one of the ``others`` (bits by size) could take the place of items of ``own`` and leave less waste,
+    or of several with the same sum: the items it replaces then fit wherever it would have gone."""
+    sums, several = 1, 0
+    for size in own:
+        several |= (sums & ~1) << size
+        sums |= sums << size
+    # sums raised by 0 to slack - 1, and then by one more
+    reach, width = sums, 1
+    while width < slack:
+        step = min(width, slack - width)
+        reach |= reach << step
+        width += step
+    return bool(others & (several | (reach << 1 if slack else 0)))
+
+
+def fillings(values: list[int], counts: list[int], gap: int) -> Iterator[tuple[int, ...] | None]:
+    """All undominated ways to fill the gap, least waste first; None in place of each dominated one.
+
+    ``values`` are the sizes left, in rising order, and ``counts`` how many items there are of each. Sums that
+    can be reached are kept as bits, so only ways that end are followed.
+    """
+    reach = [1]
+    for value, count in zip(values, counts):
+        sums, left, step = reach[-1], min(count, gap // value), 1
+        while left:
+            step = min(step, left)
+            sums |= sums << step * value
+            left -= step
+            step *= 2
+        reach.append(sums & ((2 << gap) - 1))
+
+    def ways(k: int, rest: int) -> Iterator[tuple[int, ...]]:
+        """The ways to make ``rest`` of the first ``k`` sizes, the largest first."""
+        if not rest:
+            yield ()
+        while rest and reach[k] >> rest & 1:
+            k -= 1
+            for n in range(min(counts[k], rest // values[k]), 0, -1):
+                if reach[k] >> (rest - n * values[k]) & 1:
+                    for way in ways(k, rest - n * values[k]):
+                        yield (values[k],) * n + way
+
+    present = sum(1 << v for v in values)
+    many = dict(zip(values, counts))
+    for total in range(gap, -1, -1):
+        if reach[-1] >> total & 1:
+            for own in ways(len(values), total):
+                used = sum(1 << v for v in set(own) if own.count(v) == many[v])
+                yield None if _dominated(own, gap - total, present & ~used) else own
 
 
 def best_fit(sizes: np.ndarray, limit: int) -> list[list[int]]:
@@ -257,9 +296,9 @@ def bin_completion(sizes: np.ndarray, limit: int = LIMIT, nodes: int = NODES) ->
     """Items as bins of at most ``limit``, as few as found.
 
     Depth-first branch and bound: the largest item left gets each of the undominated
-    fillings in turn, and a branch ends when its waste makes a better count than the
+    fillings in turn, least waste first, and a branch ends when its waste makes a better count than the
     incumbent's impossible. It ends at the lower bound, or after ``nodes`` steps beyond one
-    full descent, with the best solution so far.
+    full descent, with the best solution so far; else that is a least one. Dominated fillings count as steps.
     """
     best = best_fit(sizes, limit)
     total = int(sizes.sum())
@@ -273,8 +312,11 @@ def bin_completion(sizes: np.ndarray, limit: int = LIMIT, nodes: int = NODES) ->
     waste = 0
     while stack and steps:
         steps -= 1
-        own = next(stack[-1], None)
+        own = next(stack[-1], ())
         if own is None:
+            continue
+        # the next ones waste as much or more
+        if not own or waste + limit - sum(own) > (len(best) - 1) * limit - total:
             stack.pop()
             if bins:
                 last = bins.pop()
@@ -282,8 +324,6 @@ def bin_completion(sizes: np.ndarray, limit: int = LIMIT, nodes: int = NODES) ->
                 for size in last:
                     left.give(size)
             continue
-        if waste + limit - sum(own) > (len(best) - 1) * limit - total:
-            continue
         for size in own:
             left.take(size)
         bins.append(own)
@@ -301,12 +341,27 @@ def bin_completion(sizes: np.ndarray, limit: int = LIMIT, nodes: int = NODES) ->
     return best
 
 
-def _branches(left: Sizes, limit: int) -> Iterator[tuple[int, ...]]:
+def _branches(left: Sizes, limit: int) -> Iterator[tuple[int, ...] | None]:
+    """The largest item with each filling of its bin; None for a dominated one. ``left`` is as it was at each step."""
     size = left.largest()
+
+    def every() -> Iterator[tuple[int, ...] | None]:
+        values = np.flatnonzero(left.left[: limit - size + 1])
+        counts = left.left[values] - (values == size)
+        kept = counts > 0
+        return fillings(values[kept].tolist(), counts[kept].tolist(), limit - size)
+
     left.take(size)
-    ways = fillings(left, limit - size)
+    first = _full(left, limit - size) if size < limit else ()
     left.give(size)
-    return iter([(size, *w) for w in ways])
+    if first is None:
+        # made anew when it is needed again, so that a deep stack holds little
+        first = next((w for w in every() if w is not None))
+    yield (size, *first)
+    seen = sorted(first)
+    for way in every():
+        if way is None or sorted(way) != seen:
+            yield None if way is None else (size, *way)
 
 
 def pack(pieces: DataFrame, limit: int = LIMIT, group: int = GROUP) -> DataFrame:

@@ -179,6 +179,36 @@ def test_bin_completion_beats_best_fit():
     assert len(packing.bin_completion(sizes, 100)) == 3
 
 
+def least_bins(sizes, limit):
+    """Fewest bins, by the least (bins, fill of the last one) over all subsets."""
+    best = {0: (1, 0)}
+    for chosen in range(1, 1 << len(sizes)):
+        best[chosen] = min(
+            (n, fill + s) if fill + s <= limit else (n + 1, s)
+            for i, s in enumerate(sizes) if chosen >> i & 1 for n, fill in [best[chosen & ~(1 << i)]])
+    return best[(1 << len(sizes)) - 1][0]
+
+
+def test_bin_completion_is_exact_on_small_groups():
+    assert len(packing.bin_completion(np.array([50, 45, 42, 38, 30, 26, 25, 24, 20]), 100)) == 3
+    draw = np.random.default_rng(5)
+    for _ in range(150):
+        sizes = draw.integers(draw.integers(1, 24), draw.integers(30, 60), draw.integers(1, 11))
+        bins = packing.bin_completion(sizes, 100)
+        assert sorted(s for b in bins for s in b) == sorted(sizes.tolist()) and max(map(sum, bins)) <= 100
+        assert len(bins) == least_bins(sizes.tolist(), 100)
+
+
+def test_fillings_keep_one_that_dominates_each():
+    values, counts, gap = [10, 12, 20, 24, 30], [2, 1, 1, 1, 1], 50
+    found = list(packing.fillings(values, counts, gap))
+    kept = [f for f in found if f is not None]
+    assert kept[0] == (30, 20) and None in found
+    assert sorted(kept, key=sum, reverse=True) == kept and len(set(kept)) == len(kept)
+    # 30 fits in place of the 24 of (24, 20), and 24 in place of the 20 of (20, 10, 10)
+    assert (24, 12, 10) in kept and (20, 10, 10) not in kept and (24, 20) not in kept
+
+
 # --- 3, 4, 5 ------------------------------------------------------------------------------
 
 
