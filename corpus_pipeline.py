@@ -27,11 +27,22 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the smallest id, and one row of it.
 
-    Documents without an id are in no group and stay.
+    Documents without an id are in no group and stay. Several texts under one id are documents of their own.
     """
-    kept = minhash.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").select(*docs.columns)
-    return named.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    named = docs.where("doc_id is not null").withColumn(
+        "_digest", F.coalesce(F.sha2(F.col("text").cast("binary"), 256), F.lit("")))
+    texts = named.select("doc_id", "_digest").distinct()
+    several = not texts.groupBy("doc_id").count().where("count > 1").isEmpty()
+    if several:
+        # numbers in the order of the ids stand for them
+        numbers = written(texts.sort("doc_id", "_digest").withColumn("_key", F.monotonically_increasing_id()), "numbers")
+        named = written(named.join(numbers, ["doc_id", "_digest"]), "numbered")
+        compared = named.select(F.col("_key").alias("doc_id"), "text")
+    else:
+        named, compared = named.withColumn("_key", F.col("doc_id")), docs
+    kept = minhash.near_duplicates(compared).where("kept and doc_id is not null").select(F.col("doc_id").alias("_key")).distinct()
+    named = named.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
+    return named.unionByName(docs.where("doc_id is null"))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -611,6 +611,16 @@ def test_pipeline_on_odd_rows(spark, empty):
         assert table.columns[:5] == ["doc_id", "piece", "start", "length", "ids_crc32"]
 
 
+def test_near_duplicates_of_several_texts_under_one_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(3, a), (5, a), (5, b), (5, b), (6, c), (6, None), (6, ""), (7, b + " more"), (8, "something else"), (None, a)]
+    table = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], DOCS).repartition(4)
+    left = corpus_pipeline.without_near_duplicates(spark, table, str(TABLES))
+    assert left.columns == table.columns
+    assert Counter((r.doc_id, r.text) for r in left.collect()) == Counter(
+        [(3, a), (5, b), (6, c), (6, None), (6, ""), (8, "something else"), (None, a)])
+
+
 def test_lowering_and_word_counts_of_every_character(spark):
     chars = spark.range(0x110000).where("id not between 55296 and 57343")
     text = F.decode(F.unhex(F.lpad(F.hex("id"), 8, F.lit("0"))), "UTF-32")
