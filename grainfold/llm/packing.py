@@ -45,7 +45,8 @@ class WordCache:
     """Token ids of texts, with every distinct space-delimited piece tokenized once.
 
     The byte-level pre-tokenizer always cuts before a space that a visible character follows,
-    so the ids of a text are those of its pieces in a row. The cache is emptied when it holds
+    so the ids of a text are those of its pieces in a row. Texts that hold an added token, such
+    as ``<|endoftext|>``, are tokenized whole. The cache is emptied when it holds
     ``CACHED_PIECES`` pieces, which bounds its memory and never changes a result.
     """
 
@@ -53,7 +54,7 @@ class WordCache:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         (self.line_break,) = self._encode(["\n"])[0]
         self.clear()
 
@@ -87,14 +88,19 @@ class WordCache:
             self._add(rest, ids, sizes, np.cumsum(sizes) - sizes)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        split = [_pieces(t) for t in texts]
+        whole = [any(token in t for token in self.added) for t in texts]
+        split = [[] if w else _pieces(t) for t, w in zip(texts, whole)]
         if len(self.index) > CACHED_PIECES:
             self.clear()
         new = {p for pieces in split for p in pieces}.difference(self.index)
         if new:
             self.learn(list(new))
         find = self.index.__getitem__
-        return [self._join(np.fromiter(map(find, pieces), np.int64, len(pieces))) for pieces in split]
+        return [
+            np.array(self._encode([t])[0], np.uint32) if w
+            else self._join(np.fromiter(map(find, pieces), np.int64, len(pieces)))
+            for t, w, pieces in zip(texts, whole, split)
+        ]
 
     def _join(self, at: np.ndarray) -> np.ndarray:
         sizes = self.sizes.room[at]

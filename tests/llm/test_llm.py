@@ -164,6 +164,14 @@ def test_packing_odd_rows(odd, empty):
     assert packing.pack_documents(empty, TOKENIZER).count() == 0
 
 
+def test_added_tokens_in_texts():
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    texts = ["a  <|endoftext|>  b", "<|endoftext|>", "plain  text", "x<|endoftext|>\ny <|endoftext|><|endoftext|> z ", "", "<|endoftext"]
+    plain = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(plain[1]) == 1
+    assert [ids.tolist() for ids in packing.WordCache(TOKENIZER).ids(texts)] == plain
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_bin_completion(seed):
     draw = np.random.default_rng(seed)
