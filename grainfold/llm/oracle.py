@@ -77,4 +77,47 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
-ORACLE = {"op6_minhash": MINHASH, "op9_decontamination": DECONTAMINATION}
+def _bitplanes(k: int = 40, rounds: int = 5) -> str:
+    """Every round as two steps: the nearest centroid of each vector, the floor of each mean."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+distance{r} AS MATERIALIZED (
+    SELECT row, cluster, CAST(list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS distance
+    FROM vectors, centroids{r}
+),
+nearest{r} AS MATERIALIZED (
+    SELECT row, cluster, distance FROM distance{r}
+    QUALIFY row_number() OVER (PARTITION BY row ORDER BY distance, cluster) = 1
+)""")
+        if r < rounds:
+            steps.append(f"""
+means{r} AS MATERIALIZED (
+    SELECT cluster, list(mean ORDER BY place) AS c FROM (
+        SELECT cluster, place, CAST(floor(sum(x) / count(*)) AS BIGINT) AS mean
+        FROM (SELECT cluster, unnest(v) AS x, unnest(range(64)) AS place FROM nearest{r} JOIN vectors USING (row))
+        GROUP BY cluster, place
+    ) GROUP BY cluster
+),
+centroids{r + 1} AS MATERIALIZED (
+    SELECT cluster, coalesce(m.c, o.c) AS c FROM centroids{r} o LEFT JOIN means{r} m USING (cluster)
+)""")
+    return f"""
+WITH vectors AS MATERIALIZED (
+    SELECT vec_id, row_number() OVER () AS row, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+),
+centroids0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS cluster, v AS c
+    FROM vectors ORDER BY sha256('2:' || vec_id), v LIMIT {k}
+),{",".join(steps)},
+inertias AS (SELECT cluster, sum(distance) AS cluster_inertia FROM nearest{rounds} GROUP BY cluster)
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance, CAST(cluster_inertia AS BIGINT) AS cluster_inertia,
+       CAST((SELECT sum(distance) FROM nearest{rounds}) AS BIGINT) AS inertia,
+       sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM nearest{rounds} JOIN vectors USING (row) JOIN inertias USING (cluster) JOIN centroids{rounds} USING (cluster)
+"""
+
+
+ORACLE = {"op6_minhash": MINHASH, "op9_decontamination": DECONTAMINATION, "op12_bitplanes": _bitplanes()}

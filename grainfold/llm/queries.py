@@ -7,11 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grainfold.llm import (
-    ann, chat, decontaminate, katz, language, minhash, packing, pii, suffixes, toxicity,
+    alignment, ann, bitplanes, chat, decontaminate, katz, language, minhash, packing, pii, records, suffixes,
+    toxicity,
 )
 from grainfold.llm.words import fold, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_nearest(spark: SparkSession, sf: str) -> DataFrame:
@@ -54,6 +57,18 @@ def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
     return pii.span_report(table(spark, sf, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf, "documents"), TOKENIZER, PIECES)
+
+
+def op12_bitplanes(spark: SparkSession, sf: str) -> DataFrame:
+    return bitplanes.clusters(table(spark, sf, "embeddings"))
+
+
+def op13_records(spark: SparkSession, sf: str) -> DataFrame:
+    return records.record_report(records.stored_documents(table(spark, sf, "documents"), WORDS, end=2))
+
+
 QUERIES = {
     "op1_nearest": op1_nearest,
     "op2_packing": op2_packing,
@@ -65,4 +80,7 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_decontamination": op9_decontamination,
     "op10_pii": op10_pii,
+    "op11_alignment": op11_alignment,
+    "op12_bitplanes": op12_bitplanes,
+    "op13_records": op13_records,
 }
