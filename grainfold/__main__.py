@@ -36,12 +36,17 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
-def main(arguments: list[str] | None = None) -> None:
+def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
+    """Run the job that the arguments name, in a session of the caller."""
     options = vars(parser().parse_args(arguments))
-    job = JOBS[options.pop("job")]
+    JOBS[options.pop("job")](spark, **options)
+
+
+def main(arguments: list[str] | None = None) -> None:
+    parser().parse_args(arguments)  # wrong arguments end before a session starts
     spark = SparkSession.builder.appName("grainfold").getOrCreate()
     try:
-        job(spark, **options)
+        run(spark, arguments)
     finally:
         drop_written(spark)
 

@@ -2,27 +2,50 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable
 from functools import reduce
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from grainfold.functions.numbers import support_threshold
-from grainfold.session import local_table, written
+from grainfold.operators.counting import basket_blocks, counted, promising_pairs
+from grainfold.session import written
 
-# Counters per scan of the baskets; more candidates than that take more scans.
-COUNTERS = 4_000_000
-# Cells of the 0/1 matrix a task holds at a time.
-CELLS = 8_000_000
+#: Items of a fragment of a basket, about.
+FRAGMENT = 100_000
+
+
+# --- baskets ------------------------------------------------------------------------------
+
+
+def basket_fragments(pairs: DataFrame, basket: str, item: str, length: int = FRAGMENT) -> DataFrame:
+    """``basket, fragment, items``: the distinct items of a basket, ascending, about ``length`` a fragment.
+
+    Fragments are numbered from 0; items go to them by their hash, so none is met twice. A basket
+    of up to ``length`` items is one fragment. However large a basket is, no row and no task holds
+    more than a fragment of it at a time.
+    """
+    rows = pairs.select(F.col(basket).alias("_basket"), F.col(item).alias("_item"))
+    rows = written(rows.where(F.col("_basket").isNotNull() & F.col("_item").isNotNull()).distinct(), "pairs")
+    several = rows.groupBy("_basket").agg(F.count(F.lit(1)).alias("_size")).where(F.col("_size") > length)
+    several = written(several.select("_basket", F.ceil(F.col("_size") / length).alias("_fragments")), "large")
+    rows = rows.join(several, "_basket", "left")
+    fragment = F.pmod(F.xxhash64("_item"), F.coalesce("_fragments", F.lit(1))).cast("int")
+    found = rows.groupBy("_basket", fragment.alias("fragment")).agg(F.array_sort(F.collect_list("_item")).alias("items"))
+    return found.select(F.col("_basket").alias(basket), "fragment", "items")
 
 
 def to_baskets(pairs: DataFrame, basket: str, item: str) -> DataFrame:
-    """``basket, items``: the distinct items of a basket, ascending."""
-    return pairs.groupBy(basket).agg(F.array_sort(F.collect_set(item)).alias("items"))
+    """``basket, items``: the distinct items of a basket, ascending.
+
+    Whole baskets as values of a row; ``basket_fragments`` is for baskets of any size.
+    """
+    parts = basket_fragments(pairs, basket, item)
+    return parts.groupBy(basket).agg(F.array_sort(F.flatten(F.collect_list("items"))).alias("items"))
+
+
+# --- frequent sets ------------------------------------------------------------------------
 
 
 def frequent_itemsets(
@@ -37,147 +60,101 @@ def frequent_itemsets(
     ``pairs`` lists the items of every basket, repeats allowed. Enough is the rounded-down
     share ``support`` of all baskets, at least one.
 
-    Baskets are built from frequent items only. Each such item takes ``support`` of all
-    baskets, so there are at most (mean basket size / support) of them, and no basket
-    is longer than that, whatever the raw data hold. Larger sets are found size by size,
-    with one scan of the baskets each.
+    Baskets are packed into blocks of frequent items once. Tasks count the pairs of their own
+    baskets and report those that reach their share there; pairs with a gap are counted again.
+    Larger sets go size by size: candidates come from a join of the sets of one size, lose those
+    with a rare part, and are counted in one scan. Sets and items stay in tables throughout.
     """
     distinct = pairs.select(F.col(basket).alias("basket"), F.col(item).alias("item"))
     distinct = written(distinct.dropna().distinct(), "pairs")
     least = support_threshold(support, distinct.select("basket").distinct().count())
     counts = distinct.groupBy("item").agg(F.count(F.lit(1)).alias("support"))
-    singles = sorted(counts.where(F.col("support") >= least).collect())
-    numbered = local_table(
-        pairs.sparkSession,
-        [(at, item, n) for at, (item, n) in enumerate(singles)],
-        T.StructType([T.StructField("at", T.IntegerType()), *counts.schema]),
-    )
+    numbered = _numbered(counts.where(F.col("support") >= least))
     levels = [numbered.select(F.array("item").alias("items"), "support")]
-    if max_size < 2 or len(singles) < 2:
+    if max_size < 2 or numbered.count() < 2:
         return levels[0]
 
-    baskets = distinct.join(numbered, "item").groupBy("basket").agg(
-        F.collect_list("at").alias("held")
-    )
-    baskets = written(baskets.where(F.size("held") > 1).select("held"), "baskets")
-    level = None
-    for size in range(2, max_size + 1):
-        heads = [([], [], list(range(len(singles))))] if level is None else _heads(level, size - 2)
-        level = _next_level(baskets, heads, numbered, len(singles), least)
-        if level is None:
-            break
+    blocks = written(basket_blocks(distinct.join(numbered.select("item", "at"), "item"), 2), "baskets")
+    level = written(_frequent_pairs(blocks, numbered, least), "level")
+    for size in range(3, max_size + 2):
         levels.append(level.select("items", "support"))
+        # a set of this size has as many parts that lack one item
+        if size > max_size or level.count() < size:
+            break
+        found = counted(blocks, candidates(level, size)).where(F.col("n") >= least)
+        level = written(found.withColumnRenamed("n", "support"), "level")
     return reduce(DataFrame.unionByName, levels)
 
 
-def _heads(level: DataFrame, length: int) -> Iterable:
-    """Sets of one size that differ in the last item only, with these items."""
-    head = [F.slice(c, 1, length).alias(c) for c in ("positions", "items")]
-    lasts = F.array_sort(F.collect_list(F.element_at("positions", -1))).alias("lasts")
-    return level.groupBy(*head).agg(lasts).where(F.size("lasts") > 1).toLocalIterator()
-
-
-def _next_level(
-    baskets: DataFrame, heads: Iterable, numbered: DataFrame, width: int, least: int
-) -> DataFrame | None:
-    """Frequent sets one larger than those described by ``heads``.
-
-    A head is ``(positions, items, lasts)``: each of ``lasts`` after the head makes a
-    frequent set, so any two of them after the head make a candidate. Heads arrive one by
-    one and are counted in blocks, so neither the driver nor a task holds all of them.
+def _numbered(items: DataFrame) -> DataFrame:
+    """The rows with ``at``, numbers in the order of ``item``."""
+    return written(items.sort("item").withColumn("at", F.monotonically_increasing_id()), "items")
+
+
+def _frequent_pairs(blocks: DataFrame, numbered: DataFrame, least: int) -> DataFrame:
+    """``positions, items, support`` of frequent pairs."""
+    baskets = blocks.agg(F.sum(F.size("sizes")).cast("long")).first()[0]
+    if not baskets:
+        return numbered.limit(0).select(
+            F.array("at").alias("positions"), F.array("item").alias("items"), "support")
+    found = written(promising_pairs(blocks, least, baskets), "pair_counts")
+    gap, several = found.where("x is null").agg(F.sum("missed"), F.count(F.lit(1)) > 1).first()
+    known = found.where("x is not null").groupBy("x", "y").agg(F.sum("n").alias("n"), F.sum("missed").alias("covered"))
+    frequent = known.where((F.col("n") >= least) & (F.col("covered") == gap)).select("x", "y", "n")
+    if gap and several:  # else all of their chunks have reported them
+        # not reported by all chunks, yet in enough baskets if the others have as many as they may
+        asked = known.where((F.col("covered") < gap) & (F.col("n") + gap - F.col("covered") >= least))
+        again = counted(blocks, asked.select(F.array("x", "y").alias("positions"), "x", "y"))
+        frequent = frequent.unionByName(again.where(F.col("n") >= least).select("x", "y", "n"))
+    names = numbered.select("at", "item")
+    first, second = (names.select(F.col("at").alias(c), F.col("item").alias(f"_{c}")) for c in "xy")
+    return frequent.join(first, "x").join(second, "y").select(
+        F.array("x", "y").alias("positions"), F.array("_x", "_y").alias("items"), F.col("n").alias("support"))
+
+
+def candidates(level: DataFrame, size: int) -> DataFrame:
+    """``positions, items`` of sets of ``size`` all of whose parts that lack one item are in ``level``.
+
+    Two sets that differ in the last item only make a candidate; its other parts are looked up.
     """
-    spark = baskets.sparkSession
-    parts = []
-    for block in _blocks(heads):
-        table = local_table(
-            spark,
-            [(g, positions, items) for g, (positions, items, _, _) in enumerate(block)],
-            T.StructType([
-                T.StructField("g", T.IntegerType()),
-                T.StructField("positions", T.ArrayType(T.IntegerType())),
-                T.StructField("items", T.ArrayType(numbered.schema["item"].dataType)),
-            ]),
-        )
-        counter = _pair_counter([(p, xs, lasts) for p, _, xs, lasts in block], width)
-        counts = baskets.mapInArrow(counter, "g int, x int, y int, n bigint")
-        counts = counts.groupBy("g", "x", "y").agg(F.sum("n").alias("support"))
-        first = numbered.select(F.col("at").alias("x"), F.col("item").alias("_x"))
-        second = numbered.select(F.col("at").alias("y"), F.col("item").alias("_y"))
-        frequent = counts.where(F.col("support") >= least).join(table, "g")
-        frequent = frequent.join(first, "x").join(second, "y")
-        parts.append(
-            written(
-                frequent.select(
-                    F.concat("positions", F.array("x", "y")).alias("positions"),
-                    F.concat("items", F.array("_x", "_y")).alias("items"),
-                    "support",
-                ),
-                "level",
-            )
-        )
-    return reduce(DataFrame.unionByName, parts) if parts else None
-
-
-def _blocks(heads: Iterable) -> Iterator[list]:
-    """Heads in blocks of up to ``COUNTERS`` counters; a long head is cut in rows."""
-    block, size = [], 0
-    for positions, items, lasts in heads:
-        rows = max(1, COUNTERS // len(lasts))
-        for start in range(0, len(lasts), rows):
-            xs = lasts[start : start + rows]
-            if block and size + len(xs) * len(lasts) > COUNTERS:
-                yield block
-                block, size = [], 0
-            block.append((positions, items, xs, lasts))
-            size += len(xs) * len(lasts)
-    if block:
-        yield block
-
-
-def _matrix_builder(width: int):
-    """A function from lists of positions to a 0/1 matrix.
-
-    Nested, like all functions sent to tasks: they travel by value, so that executors need
-    not have this package installed.
+    sides = [
+        level.selectExpr(
+            f"slice(positions, 1, {size - 2}) _head", f"element_at(positions, -1) _{side}",
+            f"positions _{side}_positions", f"items _{side}_items")
+        for side in ("left", "right")
+    ]
+    made = sides[0].join(sides[1], "_head").where("_left < _right")
+    # without either of the last two items a candidate is one of the two sets it was made from
+    parts = made.selectExpr(
+        "concat(_left_positions, array(_right)) positions",
+        "concat(_left_items, slice(_right_items, -1, 1)) items",
+        f"explode(sequence(0, {size - 3})) _out",
+    ).selectExpr("positions", "items", "filter(positions, (_, at) -> at <> _out) _part")
+    whole = parts.join(level.selectExpr("positions _part"), "_part", "left_semi")
+    if size > 3:
+        whole = whole.groupBy("positions", "items").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == size - 2)
+    return whole.select("positions", "items")
+
+
+# --- given sets ---------------------------------------------------------------------------
+
+
+def set_counter(pairs: DataFrame, basket: str = "basket", item: str = "item") -> Callable[[DataFrame], DataFrame]:
+    """A function that counts given sets over the baskets, which are packed once.
+
+    It takes ``items`` and gives ``items, support`` of the distinct sets that some basket holds.
+    Nulls take no part: neither in baskets nor, as items, in given sets.
     """
+    distinct = pairs.select(F.col(basket).alias("basket"), F.col(item).alias("item"))
+    distinct = written(distinct.dropna().distinct(), "pairs")
+    numbered = _numbered(distinct.select("item").distinct())
+    blocks = written(basket_blocks(distinct.join(numbered, "item"), 1), "baskets")
 
-    def matrix(lists: pa.ListArray) -> np.ndarray:
-        row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-        held = np.zeros((len(lists), width), np.float32)
-        held[row, lists.flatten().to_numpy()] = 1
-        return held
-
-    return matrix
-
-
-def _pair_counter(block: list, width: int):
-    """Count, for every head, in how many baskets it occurs with two of its lasts.
-
-    The baskets of a batch become the rows of a 0/1 matrix. A product of the rows that hold
-    the head counts all pairs at once, so no pair of a basket becomes a row of data.
-    """
-    block = [tuple(np.array(part, dtype=np.int64) for part in entry) for entry in block]
-    matrix, step = _matrix_builder(width), max(1, CELLS // width)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = [np.zeros((len(xs), len(lasts)), np.int64) for _, xs, lasts in block]
-        for batch in batches:
-            for start in range(0, batch.num_rows, step):
-                held = matrix(batch.column(0).slice(start, step))
-                for total, (head, xs, lasts) in zip(totals, block):
-                    rows = held[held[:, head].all(axis=1)] if len(head) else held
-                    total += (rows[:, xs].T @ rows[:, lasts]).astype(np.int64)
-        found = []
-        for g, (total, (_, xs, lasts)) in enumerate(zip(totals, block)):
-            i, j = np.nonzero(total)
-            ascending = xs[i] < lasts[j]
-            i, j = i[ascending], j[ascending]
-            found.append((np.full(len(i), g), xs[i], lasts[j], total[i, j]))
-        g, x, y, n = (np.concatenate(column) for column in zip(*found))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, pa.int32()) for c in (g, x, y)] + [pa.array(n, pa.int64())],
-            ["g", "x", "y", "n"],
-        )
+    def count(sets: DataFrame) -> DataFrame:
+        asked = sets.select(F.array_sort(F.array_distinct("items")).alias("items")).distinct()
+        members = asked.select("items", F.explode("items").alias("item")).join(numbered, "item")
+        known = members.groupBy("items").agg(F.array_sort(F.collect_list("at")).alias("positions"))
+        return counted(blocks, known.where(F.size("positions") == F.size("items"))).select("items", F.col("n").alias("support"))
 
     return count
 
@@ -187,65 +164,13 @@ def count_sets(
 ) -> DataFrame:
     """``items, support``: how many baskets hold all items of each given set.
 
-    Sets that no basket holds are left out. Tasks count all sets of a block while they scan
-    the baskets, so sets and baskets are never multiplied into rows.
+    Sets that no basket holds are left out. Every task makes trees of the sets, file by file, and
+    looks up its own baskets in them, so sets and baskets are never multiplied into rows.
     """
-    spark = pairs.sparkSession
-    sets = sets.select(F.array_sort("items").alias("items")).distinct()
-    members = sets.select(F.explode("items").alias("item")).distinct()
-    number = {row["item"]: at for at, row in enumerate(sorted(members.collect()))}
-    number_type = T.StructField("at", T.IntegerType())
-    numbered = local_table(
-        spark, [(at, member) for member, at in number.items()],
-        T.StructType([number_type, members.schema["item"]]),
-    )
-    distinct = pairs.select(F.col(basket).alias("basket"), F.col(item).alias("item"))
-    held = distinct.dropna().distinct().join(numbered, "item").groupBy("basket")
-    baskets = written(held.agg(F.collect_list("at").alias("held")).select("held"), "baskets")
-
-    fields = T.StructType([T.StructField("g", T.IntegerType()), sets.schema["items"]])
-    found = []
-    for block in _set_blocks(row["items"] for row in sets.toLocalIterator()):
-        counter = _set_counter([[number[i] for i in items] for items in block], len(number))
-        counts = baskets.mapInArrow(counter, "g int, n bigint").groupBy("g")
-        counts = counts.agg(F.sum("n").alias("support"))
-        table = local_table(spark, list(enumerate(block)), fields)
-        found.append(written(counts.join(table, "g").select("items", "support"), "counts"))
-    nothing = local_table(
-        spark, [], T.StructType([sets.schema["items"], T.StructField("support", T.LongType())])
-    )
-    return reduce(DataFrame.unionByName, found, nothing)
-
-
-def _set_blocks(sets: Iterable) -> Iterator[list]:
-    block, size = [], 0
-    for items in sets:
-        if size + len(items) > COUNTERS:
-            yield block
-            block, size = [], 0
-        block.append(items)
-        size += len(items)
-    if block:
-        yield block
-
-
-def _set_counter(block: list, width: int):
-    block = [np.array(positions, dtype=np.int64) for positions in block]
-    matrix, step = _matrix_builder(width), max(1, CELLS // width)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros(len(block), np.int64)
-        for batch in batches:
-            for start in range(0, batch.num_rows, step):
-                held = matrix(batch.column(0).slice(start, step)) > 0
-                for g, positions in enumerate(block):
-                    totals[g] += np.count_nonzero(held[:, positions].all(axis=1))
-        seen = np.nonzero(totals)[0]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(seen, pa.int32()), pa.array(totals[seen], pa.int64())], ["g", "n"]
-        )
+    return set_counter(pairs, basket, item)(sets)
 
-    return count
+
+# --- rules --------------------------------------------------------------------------------
 
 
 MOST_ITEMS = 20
@@ -273,23 +198,44 @@ def antecedents(itemsets: DataFrame) -> DataFrame:
 
 
 def association_rules(
-    itemsets: DataFrame, confidence: float = 0.6, supports: DataFrame | None = None
+    itemsets: DataFrame,
+    confidence: float = 0.6,
+    supports: DataFrame | Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """``antecedent, consequent, confidence`` of all rules that reach ``confidence``.
 
-    Every frequent set is split in every way. The support of the antecedent is looked up
-    among the sets, where it is a frequent set itself, or in ``supports`` if that is given.
+    The support of an antecedent is looked up among the sets, or in ``supports``: a table
+    ``items, support``, or a function that makes one from a table of ``items``.
+
+    Antecedents lose one item at a time. A smaller one has no smaller support, so it can only reach
+    the confidence if all that have one item more did; those whose support is not known give no
+    rule and count as if they did. The work follows the rules that exist, whatever the size of a set.
     """
-    splits = antecedents(itemsets).withColumnRenamed("support", "_whole")
-    known = itemsets if supports is None else supports
-    parts = known.select(F.col("items").alias("antecedent"), F.col("support").alias("_part"))
-    ratio = F.col("_whole").cast("double") / F.col("_part")
-    return (
-        splits.join(parts, "antecedent")
-        .select(
-            "antecedent",
-            F.array_except("items", "antecedent").alias("consequent"),
-            ratio.alias("confidence"),
-        )
-        .where(F.col("confidence") >= confidence)
-    )
+    sets = written(itemsets.select("items", "support").distinct(), "sets")
+    known = sets if supports is None else supports
+    level, rules = sets.withColumn("antecedent", F.col("items")), []
+    while True:
+        level = _smaller(level, whole=not rules)
+        if not isinstance(known, DataFrame):
+            level = written(level, "antecedents")
+            parts = known(level.select(F.col("antecedent").alias("items")).distinct())
+        else:
+            parts = known
+        parts = parts.select(F.col("items").alias("antecedent"), F.col("support").alias("_part"))
+        ratio = F.col("support").cast("double") / F.col("_part")
+        level = level.join(parts, "antecedent", "left").withColumn("confidence", ratio)
+        level = written(level.where(F.col("confidence").isNull() | (F.col("confidence") >= confidence)), "antecedents")
+        rules.append(level.where(F.col("confidence").isNotNull()).select(
+            "antecedent", F.array_except("items", "antecedent").alias("consequent"), "confidence"))
+        if level.isEmpty():
+            return reduce(DataFrame.unionByName, rules)
+
+
+def _smaller(level: DataFrame, whole: bool) -> DataFrame:
+    """``items, support, antecedent`` with one item less, where all antecedents with one more are in ``level``."""
+    without = F.transform("antecedent", lambda out: F.array_remove("antecedent", out))
+    made = level.where(F.size("antecedent") > 1).select("items", "support", F.explode(without).alias("antecedent"))
+    if whole:
+        return made
+    made = made.groupBy("items", "support", "antecedent").agg(F.count(F.lit(1)).alias("_n"))
+    return made.where(F.col("_n") == F.size("items") - F.size("antecedent")).drop("_n")

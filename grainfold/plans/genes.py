@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 
 from grainfold.operators.folds import count_by, sum_by_partner
 from grainfold.operators.itemsets import (
-    antecedents,
     association_rules,
-    count_sets,
     frequent_itemsets,
+    set_counter,
 )
 from grainfold.operators.rows import explode_list, where_at_least, where_member
 from grainfold.session import written
@@ -79,9 +78,6 @@ def gene_rules(
     that ``itemsets`` may be any selection of sets; without, they are looked up in it.
     """
     itemsets = written(itemsets, "itemsets")
-    supports = None
-    if pairs is not None:
-        asked = antecedents(itemsets).select(F.col("antecedent").alias("items"))
-        supports = count_sets(asked, pairs, "patientid", "geneid")
+    supports = None if pairs is None else set_counter(pairs, "patientid", "geneid")
     rules = association_rules(itemsets, confidence, supports)
     return rules.orderBy(F.desc("confidence"), "antecedent", "consequent")

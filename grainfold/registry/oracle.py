@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from grainfold.registry.queries import CONFIDENCE, MODEL, RANDOM, ROUNDS
+from grainfold.registry.queries import CONFIDENCE, MODEL, RANDOM, RANDOM_MANY, ROUNDS
 
 PLACES = """places AS (
   SELECT p_partkey AS place_id, p_size AS place_type_id,
@@ -50,6 +50,7 @@ def _first(model) -> str:
 
 FIRST = _first(MODEL)
 SEEDED = _first(RANDOM)
+SEEDED_MANY = _first(RANDOM_MANY)
 VALID = """CASE WHEN l_extendedprice BETWEEN 0 AND 50000 AND l_quantity BETWEEN 0 AND 25
            THEN 1 ELSE 0 END"""
 RESEARCHERS = """researchers AS (
@@ -211,6 +212,12 @@ ORACLE: dict[str, str] = {
     "write_rules": f"""SELECT antecedent || ' ' || chr(9) || consequent || ' ' AS rule, confidence
         FROM ({GENE_RULES})""",
     "write_csv": AVERAGES,
+    "job_output": f"""WITH {PLACES}, {LOCALITIES}, {PHOTOS}, {COUNTS}
+        SELECT locality || chr(9) || n_photos AS line FROM counts""",
+    "job_preview": f"""WITH {PLACES}, {LOCALITIES}, {PHOTOS}, {COUNTS}
+        SELECT CAST(row_number() OVER (ORDER BY n_photos DESC, locality) AS INTEGER) AS place,
+               locality || chr(9) || n_photos AS line
+        FROM counts ORDER BY place LIMIT 100""",
     "locality_name": f"WITH {PLACES}, {LOCALITIES} SELECT * FROM localities",
     "flag_in_range": f"""SELECT l_orderkey AS sample, CAST(sum({VALID}) AS BIGINT) AS n
         FROM lineitem GROUP BY l_orderkey""",
@@ -274,6 +281,17 @@ ORACLE: dict[str, str] = {
         round(avg(ly6c), 6) AS ly6c, round(avg(cd11b), 6) AS cd11b, round(avg(sca1), 6) AS sca1
         FROM {_nearest('points', 'c0')} WHERE near = 1 GROUP BY cluster_id""",
     "random_clusters": f"WITH {POINTS}, {SEEDED}, {_rounds('points', 3)} {_model('c3')}",
+    "many_clusters": f"""SELECT cluster_id, n, round(ly6c, 4) AS ly6c, round(cd11b, 4) AS cd11b, round(sca1, 4) AS sca1
+        FROM (WITH {POINTS}, {SEEDED_MANY}, {_rounds('points', 4)} {_model('c4')})""",
+    "frequent_pairs": """WITH orders_of AS (SELECT DISTINCT l_orderkey AS b, l_suppkey AS i FROM lineitem),
+        least AS (SELECT greatest(1, CAST(floor(0.0002 * count(DISTINCT b)) AS BIGINT)) AS n FROM orders_of),
+        singles AS (SELECT i FROM orders_of GROUP BY i HAVING count(*) >= (SELECT n FROM least))
+        SELECT p.i || ' ' || q.i AS items, count(*) AS support
+        FROM orders_of p JOIN orders_of q ON p.b = q.b AND p.i < q.i
+        WHERE p.i IN (FROM singles) AND q.i IN (FROM singles)
+        GROUP BY p.i, q.i HAVING count(*) >= (SELECT n FROM least)""",
+    "basket_fragments": """SELECT o_custkey, CAST(count(DISTINCT l_partkey) AS BIGINT) AS n, true AS filled,
+        true AS numbered FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_custkey""",
     "frequent_itemsets": f"""WITH {PART_SETS}
         SELECT array_to_string(s, ' ') AS items, n AS support FROM frequent""",
     "count_sets": f"""WITH {COUNTED_SETS}

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from grainfold import __main__ as commands
 from grainfold import tables
 from grainfold.functions.numbers import Ranges, kept_rows, support_threshold
 from grainfold.operators import clustering, folds, itemsets, ranking, rows, trim
 from grainfold.plans import cells, genes, movies, photos
-from grainfold.session import new_path, written
+from grainfold.session import local_table, new_path, written
 from grainfold.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +25,7 @@ CLUSTERED: Ranges = {"fsc_a": (1000, 90000), "ssc_a": (1, 45)}
 MODEL = [(1, [0.5, 0.5, 0.5]), (2, [1.5, 1.5, 1.5]), (3, [2.5, 2.5, 2.5])]
 ROUNDS = 10
 RANDOM = clustering.random_centroids(10, seed=7)
+RANDOM_MANY = clustering.random_centroids(40, seed=11)
 SEGMENTS = ["BUILDING", "MACHINERY", "HOUSEHOLD"]
 URGENT = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
 ITEMSETS = {"support": 0.01, "max_size": 10, "active": 5, "cancers": URGENT}
@@ -309,6 +314,39 @@ def write_csv(spark, sf):
     return spark.read.csv(path, schema="genre string, avg_rating double")
 
 
+# --- jobs: from the command line to what they write or print -----------------------------
+
+
+def job_output(spark, sf):
+    """Photos per locality from text to text, named on the command line; malformed lines drop out."""
+    kept = _tsv(
+        tables.photos(spark, sf), F.lit("p"), F.lit("u"), F.col("tags"), F.col("date_taken"),
+        F.col("place_id"), F.lit("16"),
+    )
+    short = kept.select(F.substring_index("value", "\t", 3).alias("value"))
+    nothing = F.lit("x")
+    places = _tsv(
+        tables.places(spark, sf), F.col("place_id"), nothing, nothing, nothing, F.col("place_name"),
+        F.col("place_type_id"), F.lit("/url"),
+    )
+    out = new_path(spark, "job")
+    commands.run(spark, [
+        "photos-per-locality", _text(kept.unionByName(short), "photos"), _text(places, "places"), "--output", out])
+    return _lines_of(spark, out)
+
+
+def job_preview(spark, sf):
+    """A job without an output, asked for more localities than the 100 rows it prints."""
+    counts = writers.key_value_lines(photos_per_locality(spark, sf))
+    printed = io.StringIO()
+    with contextlib.redirect_stdout(printed):
+        commands.run(spark, ["top-localities", _text(counts, "counts"), "--n", "120"])
+    lines = [line[1:-1].rstrip().replace("\\t", "\t") for line in printed.getvalue().splitlines() if line.startswith("|")]
+    numbered = list(enumerate(lines))[1:]  # the first is the column's name
+    return local_table(spark, numbered, T.StructType([
+        T.StructField("place", T.IntegerType()), T.StructField("line", T.StringType())]))
+
+
 # --- projections and filters -------------------------------------------------------------
 
 
@@ -481,9 +519,35 @@ def random_clusters(spark, sf):
     return rounded(clusters, *cells.MARKERS)
 
 
+def many_clusters(spark, sf):
+    """More centroids than are compiled, over rounds that keep bounds between them."""
+    points = rows.where_in_range(tables.cells(spark, sf), CLUSTERED)
+    clusters = rounded(clustering.kmeans(points, cells.MARKERS, RANDOM_MANY, 4), *cells.MARKERS)
+    return clusters.withColumns({c: F.round(c, 4) for c in cells.MARKERS})
+
+
 # --- itemsets ----------------------------------------------------------------------------
 
 
+def frequent_pairs(spark, sf):
+    """Pairs of suppliers in one order in 5,000, out of as many as there are pairs of suppliers."""
+    items = tables.table(spark, sf, "lineitem")
+    sets = itemsets.frequent_itemsets(items, "l_orderkey", "l_suppkey", 0.0002, 2)
+    return sets.where(F.size("items") == 2).select(joined("items").alias("items"), "support")
+
+
+def basket_fragments(spark, sf):
+    """Parts bought by a customer, about five to a fragment: fragments and the items in them."""
+    pairs = tables.table(spark, sf, "orders").join(
+        tables.table(spark, sf, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey")
+    )
+    parts = itemsets.basket_fragments(pairs, "o_custkey", "l_partkey", 5)
+    return parts.groupBy("o_custkey").agg(
+        F.sum(F.size("items")).alias("n"), F.max(F.size("items") > 0).alias("filled"),
+        (F.countDistinct("fragment") == F.count(F.lit(1))).alias("numbered"),
+    )
+
+
 def frequent_itemsets(spark, sf):
     """Sets of part types bought together."""
     pairs = tables.table(spark, sf, "lineitem").join(
@@ -542,11 +606,12 @@ QUERIES: dict[str, Query] = {
         scan_measurements, scan_cells, scan_experiments, scan_clusters, scan_ratings,
         scan_movies, scan_expression, scan_patients, scan_itemsets,
         write_key_values, write_single_file, write_itemsets, write_rules, write_csv,
+        job_output, job_preview,
         locality_name, flag_in_range, where_in_range, where_at_least, where_member,
         explode_list, strip_year, drop_self_tags, feature_vector,
         count_by_lookup, sum_by_partner, count_distinct, distinct_items, to_baskets,
         min_support, most_rated_titles, top_n_per_group, first_rows, kept_per_group,
         trim_group_tail, assign_nearest, assign_nearest_of_many, centres, random_clusters,
-        frequent_itemsets, count_sets, recounted_rules, proper_subsets, association_rules,
+        many_clusters, frequent_pairs, basket_fragments, frequent_itemsets, count_sets, recounted_rules, proper_subsets, association_rules,
     )
 }

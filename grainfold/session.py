@@ -65,10 +65,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     The result has no lineage, outlives lost executors, scans columns only as far as
     they are needed, and has a measured size from which Spark decides on broadcasts.
     """
-    spark = df.sparkSession
-    path = new_path(spark, label)
+    return written_at(df, new_path(df.sparkSession, label))
+
+
+def written_at(df: DataFrame, path: str) -> DataFrame:
+    """The same at a path of the caller, for tasks that read its files themselves."""
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def drop_written(spark: SparkSession) -> None:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import UnsupportedOperationException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grainfold.session import written
@@ -56,13 +57,51 @@ def rule_lines(rules: DataFrame) -> DataFrame:
     )
 
 
+def _join_parts(spark: SparkSession, path: str) -> None:
+    """Make one file of the part files of a folder, in their order, on its file system.
+
+    Stores that can concatenate files do so without moving data; for others the bytes are
+    streamed through a buffer.
+    """
+    hadoop = spark._jvm.org.apache.hadoop
+    folder = hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [status.getPath() for status in store.listStatus(folder)]
+    parts = sorted((p for p in found if p.getName().startswith("part-")), key=lambda p: (len(p.getName()), p.getName()))
+    if len(parts) < 2:
+        return
+    try:
+        others = spark.sparkContext._gateway.new_array(hadoop.fs.Path, len(parts) - 1)
+        for i, part in enumerate(parts[1:]):
+            others[i] = part
+        store.concat(parts[0], others)
+    except UnsupportedOperationException:
+        joined = hadoop.fs.Path(folder, "_joined")
+        whole = store.create(joined)
+        for part in parts:
+            source = store.open(part)
+            hadoop.io.IOUtils.copyBytes(source, whole, 1 << 20, False)
+            source.close()
+        whole.close()
+        for part in parts:
+            store.delete(part, False)
+        store.rename(joined, parts[0])
+
+
 def write_lines(lines: DataFrame, path: str, single_file: bool = False) -> None:
-    """One file keeps the order of sorted lines; meant for small results only."""
-    (lines.coalesce(1) if single_file else lines).write.text(path)
+    """Text lines; as one file they are written in parallel and joined in the order of the partitions.
+
+    So a sorted table gives one sorted file, and no task sees more than its partition.
+    """
+    lines.write.text(path)
+    if single_file:
+        _join_parts(lines.sparkSession, path)
 
 
 def write_csv(rows: DataFrame, path: str, single_file: bool = False) -> None:
-    (rows.coalesce(1) if single_file else rows).write.csv(path)
+    rows.write.csv(path)
+    if single_file:
+        _join_parts(rows.sparkSession, path)
 
 
 def preview(rows: DataFrame, n: int = 100) -> None:

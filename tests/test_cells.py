@@ -1,12 +1,16 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from conftest import lines_in
 
+from grainfold.operators import clustering
 from grainfold.operators.clustering import (
     COMPILED_CENTROIDS,
     assign_nearest,
+    assign_within_bounds,
+    centres,
     kmeans,
     random_centroids,
     trimmed_kmeans,
@@ -85,6 +89,52 @@ def test_compiled_and_batched_distances_agree(spark):
         assert (row["cluster_id"], row["dist"]) == (nearest[1], pytest.approx(nearest[0]))
 
 
+@pytest.mark.parametrize("k", [3, 30, 300])
+def test_bounds_change_no_result(spark, monkeypatch, k):
+    draw = random.Random(k)
+    rows = [(float(draw.randint(0, 40)), draw.random() * 40, float(draw.randint(0, 9))) for _ in range(3000)]
+    points = spark.createDataFrame(rows + [(math.nan, 0.0, 0.0)], "x double, y double, z double")
+    model, expected = random_centroids(k, low=0, high=40, seed=1), None
+    for bound in (10**6, 0):
+        if bound:
+            plain = model
+            for _ in range(5):
+                found = sorted(centres(clustering._nearest_batched(points.where("not isnan(x)"), XYZ, plain), XYZ).collect())
+                plain = [(r["cluster_id"], [r[f] for f in XYZ]) for r in found]
+            expected = found
+        else:
+            monkeypatch.setattr(clustering, "COMPILED_CENTROIDS", 0)
+            got = sorted(kmeans(points, XYZ, model, 5).collect())
+            assert [r["cluster_id"] for r in got] == [r["cluster_id"] for r in expected]
+            assert [r["n"] for r in got] == [r["n"] for r in expected]
+            for a, b in zip(got, expected):
+                assert tuple(a)[2:] == pytest.approx(tuple(b)[2:])
+
+
+def test_bounds_spare_distances(spark):
+    draw = random.Random(4)
+    spots = [(draw.random() * 100, draw.random() * 100, draw.random() * 100) for _ in range(100)]
+    rows = [tuple(c + draw.random() for c in spots[i % 100]) for i in range(5000)]
+    points = spark.createDataFrame(rows, "x double, y double, z double")
+    model = [(i, spot) for i, spot in enumerate(spots)]
+    first = assign_within_bounds(points, XYZ, model).persist()
+    moved = [(r["cluster_id"], [r[f] for f in XYZ]) for r in sorted(centres(first, XYZ).collect())]
+    second = assign_within_bounds(first, XYZ, moved, model)
+    taken = [df.agg({"taken": "sum"}).first()[0] for df in (first, second)]
+    assert taken[0] == 5000 * 100 and taken[1] < 5000 * 10
+    assert sorted(second.select(*XYZ, "cluster_id").collect()) == sorted(
+        assign_nearest(points, XYZ, moved).select(*XYZ, "cluster_id").collect())
+
+
+def test_ties_and_odd_values_within_bounds():
+    centre = np.array([[0.0], [2.0], [2.0], [1e308]])
+    values = [np.array([1.0, 2.0, 5.0, 1e308, -1e308])]
+    at, lower, taken = clustering.nearest_within_bounds(values, np.zeros(5, int), np.zeros(5), None, centre)
+    assert at.tolist() == [0, 1, 1, 3, 0] and (taken == 4).all()
+    again, _, _ = clustering.nearest_within_bounds(values, at, lower, centre, centre)
+    assert again.tolist() == at.tolist()
+
+
 ODD = [float("nan"), float("inf"), float("-inf"), None]
 
 

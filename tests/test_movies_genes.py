@@ -1,11 +1,17 @@
+import inspect
+import random
+from collections import Counter
 from itertools import combinations
 
+import numpy as np
 import pytest
 from conftest import lines_in
 from pyspark.sql import functions as F
 
-from grainfold.operators.itemsets import association_rules, frequent_itemsets, proper_subsets
-from grainfold.operators import itemsets
+from grainfold.operators import counting, itemsets
+from grainfold.operators.itemsets import (
+    association_rules, basket_fragments, candidates, frequent_itemsets, proper_subsets, to_baskets,
+)
 from grainfold.plans import genes, jobs, movies
 from grainfold.sources import readers, writers
 
@@ -88,8 +94,6 @@ def test_threshold_of_zero_still_needs_a_basket(spark):
 
 @pytest.mark.parametrize("support, max_size", [(0.1, 10), (0.2, 2), (0.35, 3)])
 def test_itemsets_equal_brute_force(spark, support, max_size):
-    import random
-
     draw = random.Random(5)
     baskets = [{i for i in range(8) if draw.random() < 0.15 + 0.08 * i} for _ in range(60)]
     baskets = [b for b in baskets if b]
@@ -101,15 +105,121 @@ def test_itemsets_equal_brute_force(spark, support, max_size):
         assert all(got[s] >= n for s in combinations(items, len(items) - 1) if s)
 
 
-def test_small_blocks_and_chunks_change_nothing(spark, monkeypatch):
-    """Candidates over many scans and matrices of single rows."""
-    from grainfold.operators import itemsets
-
-    monkeypatch.setattr(itemsets, "COUNTERS", 5)
-    monkeypatch.setattr(itemsets, "CELLS", 1)
-    baskets = [{1, 2, 3, 4}, {1, 2, 3, 4}, {2, 3, 4, 5}, {1, 3, 5}]
-    got = as_dict(frequent_itemsets(pairs_of(spark, baskets), support=0.5))
-    assert got == brute_sets(baskets, 0.5, 10)
+def small(monkeypatch, settings):
+    """Chunks of a few baskets, bitmaps of one word, one pair listed at a time, only shares reported, files of few sets."""
+    settings(spark__sql__execution__arrow__maxRecordsPerBatch="7")
+    for name, value in {"BLOCK": 3, "CHUNK": 4, "WORDS": 1, "PAIRS": 1, "SETS": 2, "REPORTED": 0}.items():
+        monkeypatch.setattr(counting, name, value)
+
+
+@pytest.mark.parametrize("support", [0.1, 0.3, 0.5])
+def test_small_blocks_and_chunks_change_nothing(spark, monkeypatch, settings, support):
+    """Pairs that reach their share in some chunks only, and sets over many files."""
+    small(monkeypatch, settings)
+    baskets = [{1, 2, 3, 4}, {1, 2, 3, 4}, {2, 3, 4, 5}, {1, 3, 5}] * 3 + [set(range(6, 9 + i)) for i in range(5)] + [{9}, {1, 9}]
+    got = as_dict(frequent_itemsets(pairs_of(spark, baskets), support=support))
+    assert got == brute_sets(baskets, support, 10)
+
+
+@pytest.mark.parametrize("way", [counting.pairs_by_lists, counting.pairs_by_bitmaps])
+def test_pairs_of_a_chunk(monkeypatch, way):
+    draw = random.Random(8)
+    baskets = [sorted(draw.sample(range(0, 300, 7), draw.randint(1, 9))) for _ in range(150)]
+    expected = Counter(pair for own in baskets for pair in combinations(own, 2))
+    for words, pairs in ((10**6, 10**6), (1, 50)):
+        monkeypatch.setattr(counting, "WORDS", words)
+        monkeypatch.setattr(counting, "PAIRS", pairs)
+        chunk = counting.Chunk(np.array([len(b) for b in baskets]), np.concatenate([np.array(b) for b in baskets]))
+        got = {}
+        for x, y, n in way(chunk):
+            got |= {(int(chunk.items[i]), int(chunk.items[j])): int(c) for i, j, c in zip(x, y, n)}
+        assert got == expected
+
+
+def test_pairs_are_reported_where_they_reach_their_share(spark, monkeypatch, settings):
+    """A pair in 40 of 200 baskets is reported by chunks that hold a fifth of them or more."""
+    small(monkeypatch, settings)
+    monkeypatch.setattr(counting, "CHUNK", 40)
+    baskets = [(i, [1, 2] if i % 5 == 0 else [3, 4 + i]) for i in range(200)]
+    held = spark.createDataFrame([(b, at) for b, own in baskets for at in own], "basket long, at long").coalesce(1)
+    found = counting.promising_pairs(counting.basket_blocks(held, 2), 40, 200).collect()
+    reported = [row for row in found if row.x is not None]
+    assert sum(row.x is None for row in found) > 3
+    assert all((row.x, row.y) == (1, 2) and row.n > row.missed for row in reported if row.missed)
+    rare = counting.promising_pairs(counting.basket_blocks(held, 2), 160, 200).where("x is not null").collect()
+    assert all(row.n > row.missed for row in rare) and len(rare) < len(reported) + 160
+
+
+def test_no_candidate_with_a_rare_part(spark):
+    frequent = [[1, 2], [1, 3], [1, 4], [2, 3], [3, 4]]
+    level = spark.createDataFrame([(s, [str(i) for i in s]) for s in frequent], "positions array<long>, items array<string>")
+    got = {tuple(r["positions"]): r["items"] for r in candidates(level, 3).collect()}
+    assert got == {(1, 2, 3): ["1", "2", "3"], (1, 3, 4): ["1", "3", "4"]}  # not (1, 2, 4): (2, 4) is rare
+    triples = [list(s) for s in combinations(range(5), 3) if s not in {(1, 2, 4), (0, 3, 4)}]
+    level = spark.createDataFrame([(s, [str(i) for i in s]) for s in triples], "positions array<long>, items array<string>")
+    whole = [s for s in combinations(range(5), 4) if all(list(p) in triples for p in combinations(s, 3))]
+    assert sorted(tuple(r["positions"]) for r in candidates(level, 4).collect()) == whole
+
+
+def test_nothing_below_a_prefix_that_no_row_holds():
+    sets = np.array([[0, 1, k] for k in range(2, 50)] + [[50, 51, k] for k in range(52, 60)] + [[60, 61, 62]])
+    chunk = counting.Chunk(np.array([3, 2]), np.array([60, 61, 62, 50, 52]))
+    wide = counting.Chunk(np.array([3, 2, 63]), np.concatenate([[60, 61, 62], [50, 52], np.arange(63)]))
+    for own in (chunk, wide):
+        expected = [sum(set(row) <= set(b) for b in np.split(own.items[own.local], np.cumsum(own.sizes)[:-1])) for row in sets]
+        assert counting.count_chunk(own, sets).tolist() == expected
+    counts = np.zeros(len(sets), np.int64)
+    bits = np.zeros((63, 1), np.uint64)
+    bits[[50, 60, 61, 62], 0] = [2, 1, 1, 1]
+    # the root, both empty prefixes of one item, (50), (50 51), (60), (60 61)
+    assert counting.walk(bits, sets, counts) <= 7 and counts.tolist() == [0] * 56 + [1]
+
+
+def test_sets_and_items_stay_in_tables():
+    for module in (itemsets, counting):
+        source = inspect.getsource(module)
+        assert "toLocalIterator" not in source and "collect()" not in source and "toPandas" not in source
+
+
+def test_baskets_of_any_size(spark):
+    pairs = spark.range(25_000).selectExpr("'hot' as basket", "id % 20000 as item").unionByName(
+        spark.createDataFrame([("a", 3), ("a", 1), ("a", 1), ("b", None), (None, 1)], "basket string, item long"))
+    parts = basket_fragments(pairs, "basket", "item", 1000).collect()
+    hot = [r["items"] for r in parts if r["basket"] == "hot"]
+    assert len(hot) == 20 and max(map(len, hot)) < 1200 and sorted(sum(hot, [])) == list(range(20_000))
+    assert all(own == sorted(own) for own in hot)
+    assert [(r["fragment"], r["items"]) for r in parts if r["basket"] == "a"] == [(0, [1, 3])]
+    whole = {r["basket"]: r["items"] for r in to_baskets(pairs, "basket", "item").collect()}
+    assert whole == {"hot": list(range(20_000)), "a": [1, 3]}
+
+
+def test_rules_of_a_large_set_end(spark):
+    """Thirty items: only antecedents that lack one item reach the confidence, none is made of those without two."""
+    sets = spark.createDataFrame([(list(range(30)), 10)], "items array<int>, support long")
+    asked_sizes = []
+
+    def supports(asked):
+        asked_sizes.append({r[0] for r in asked.select(F.size("items")).distinct().collect()})
+        return asked.select("items", (10 + 30 - F.size("items")).cast("long").alias("support"))
+
+    rules = association_rules(sets, 0.9, supports).collect()
+    assert len(rules) == 30 and {len(r["antecedent"]) for r in rules} == {29}
+    assert all(r["confidence"] == 10 / 11 for r in rules) and asked_sizes == [{29}, {28}]
+
+
+@pytest.mark.parametrize("confidence", [0.0, 0.4, 0.8])
+def test_rules_equal_all_splits(spark, confidence):
+    draw = random.Random(3)
+    baskets = [set(draw.sample(range(7), draw.randint(1, 6))) for _ in range(40)]
+    found = as_dict(frequent_itemsets(pairs_of(spark, baskets), support=0.1))
+    expected = {
+        (a, tuple(i for i in items if i not in a)): n / found[a]
+        for items, n in found.items() for size in range(1, len(items)) for a in combinations(items, size)
+        if n / found[a] >= confidence
+    }
+    sets = spark.createDataFrame([(list(s), n) for s, n in found.items()], "items array<int>, support long")
+    got = association_rules(sets, confidence).collect()
+    assert {(tuple(r["antecedent"]), tuple(r["consequent"])): r["confidence"] for r in got} == expected and len(got) == len(expected)
 
 
 def test_items_are_numbered_without_a_shuffle(spark):
@@ -123,17 +233,14 @@ def test_items_are_numbered_without_a_shuffle(spark):
     assert "BroadcastHashJoin" in plan and numbered.collect() == [(0, 5)]
 
 
-def test_given_sets_are_counted(spark, monkeypatch):
-    from grainfold.operators import itemsets
-
+def test_given_sets_are_counted(spark, monkeypatch, settings):
     sets = [[1], [1, 2], [2, 3], [1, 2, 3], [4, 5], [9]]
     asked = spark.createDataFrame([(s,) for s in sets], "items array<int>")
     expected = {
         tuple(s): n for s in sets if (n := sum(set(s) <= b for b in BASKETS))
     }
     assert as_dict(itemsets.count_sets(asked, pairs_of(spark, BASKETS))) == expected
-    monkeypatch.setattr(itemsets, "COUNTERS", 3)
-    monkeypatch.setattr(itemsets, "CELLS", 1)
+    small(monkeypatch, settings)
     assert as_dict(itemsets.count_sets(asked, pairs_of(spark, BASKETS))) == expected
     assert as_dict(itemsets.count_sets(asked.limit(0), pairs_of(spark, BASKETS))) == {}
 

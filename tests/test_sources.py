@@ -1,5 +1,5 @@
 import pytest
-from conftest import ROOT
+from conftest import ROOT, lines_in
 from pyspark.sql import functions as F
 
 from grainfold.functions.text import (
@@ -11,7 +11,8 @@ from grainfold.functions.text import (
     without_year,
 )
 from grainfold.session import shared_folder, written
-from grainfold.sources import readers
+from grainfold import __main__ as commands
+from grainfold.sources import readers, writers
 
 
 def one(spark, column, **values):
@@ -131,3 +132,30 @@ def test_command_line_knows_all_jobs(capsys):
     assert (options.support, options.max_size, options.output) == (0.2, 10, None)
     options = parser().parse_args(["cell-clusters", "cells", "5", "--seed", "3", "--output", "o"])
     assert (options.k, options.seed, options.iterations, options.output) == (5, 3, 10, "o")
+
+
+def test_one_file_is_joined_in_order(spark, tmp_path):
+    """Sorted in parallel, one file, the same bytes as one task would write."""
+    rows = spark.range(5000).selectExpr("cast(hash(id) as string) as value").repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for write, end in ((writers.write_lines, "txt"), (writers.write_csv, "csv")):
+            path = tmp_path / end
+            write(rows.sort("value"), str(path), single_file=True)
+            (part,) = path.glob("part-*")
+            expected = sorted(r[0] for r in rows.collect())
+            assert part.read_bytes() == ("\n".join(expected) + "\n").encode()
+            assert spark.read.text(str(path)).count() == 5000
+        writers.write_lines(rows.limit(0), str(tmp_path / "none"), single_file=True)
+        assert spark.read.text(str(tmp_path / "none")).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_a_job_from_its_arguments(spark, text_file, tmp_path, capsys):
+    counts = text_file("counts.tsv", *[f"place {i:03}\t{i}" for i in range(150)])
+    commands.run(spark, ["top-localities", counts, "--n", "3", "--output", str(tmp_path / "top")])
+    assert lines_in(tmp_path / "top") == ["place 149\t149", "place 148\t148", "place 147\t147"]
+    commands.run(spark, ["top-localities", counts, "--n", "120"])
+    shown = [line for line in capsys.readouterr().out.splitlines() if line.startswith("|place")]
+    assert len(shown) == 100 and "149" in shown[0]
