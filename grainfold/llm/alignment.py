@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grainfold.llm.tokens import (
-    Lines, Numbered, Ragged, byte_letters, flat, one_thread, simple_first, slices, split_units, sums,
+    LINE, Lines, Numbered, Ragged, byte_letters, flat, one_thread, simple_first, slices, split_units, sums,
 )
 from grainfold.llm.words import small_batches
 from grainfold.session import written
@@ -37,10 +37,10 @@ class ByteLevel:
             if all(letter in byte_of for letter in token):
                 self.bytes[i] = bytes(byte_of[letter] for letter in token)
         self.starts = np.array([own[:1] == b" " for own in self.bytes])
-        self.lines = Lines(path, byte_letters()[0x20], lower=False)
+        self.lines = Lines(path, spaced=True, lower=False)
 
-    def _simple(self, matches: list[re.Match]) -> tuple[np.ndarray, np.ndarray]:
-        ids = self.lines.ids(matches)
+    def _simple(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = self.lines.ids(units)
         starts = np.flatnonzero(self.starts[ids])  # only first tokens begin with the space
         return ids, np.diff(starts, append=len(ids))
 
@@ -74,8 +74,8 @@ class Pieces:
         self.starts = np.array([name[:1] == self.SPACE for name in names])
         self.space = self.model.piece_to_id(self.SPACE)
 
-    def _simple(self, matches: list[re.Match]) -> tuple[np.ndarray, np.ndarray]:
-        lines = [" ".join(m[0] for m in matches[at : at + 256]) for at in range(0, len(matches), 256)]
+    def _simple(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        lines = [" ".join(units[at : at + LINE]) for at in range(0, len(units), LINE)]
         ids, _ = flat(self.model.encode(lines, num_threads=1))
         starts = np.flatnonzero(self.starts[ids])
         return ids, np.diff(starts, append=len(ids))

@@ -4,8 +4,9 @@ A record is, all little-endian::
 
     u64 length | u32 masked crc32c of these 8 bytes | payload | u32 masked crc32c of the payload
 
-with a payload of one byte (1 if there is a key), an i64 key and the ids as u32. Every data file
-has an index file of two u64 per record: offset and number of ids. ``_manifest.json`` lists the
+with a payload of one byte (1 if there is a key, plus 2 if ids take two bytes each), an i64 key and the
+ids: as u16 if all of a record are below 65,536, else as u32. Every data file has an index file of two
+u64 per record: offset, and number of ids times two, plus one if they are u16. ``_manifest.json`` lists the
 files in the order of their records and is written when all tasks have ended, so files that lost
 or repeated tasks leave behind are never read.
 """
@@ -161,7 +162,23 @@ def _checked(block: bytes, sizes: np.ndarray, place: str) -> list[bytes]:
 
 
 def _keys(payloads: list[bytes]) -> pa.Array:
-    return pa.array([int.from_bytes(p[1:HEAD], "little", signed=True) if p[0] else None for p in payloads], pa.int64())
+    return pa.array([int.from_bytes(p[1:HEAD], "little", signed=True) if p[0] & 1 else None for p in payloads], pa.int64())
+
+
+def _payload(key: int | None, ids: bytes | None) -> bytes:
+    values = np.frombuffer(ids or b"", "<u4")
+    short = not len(values) or values.max() < 1 << 16
+    head = bytes([(key is not None) + 2 * short]) + (key or 0).to_bytes(8, "little", signed=True)
+    return head + (values.astype("<u2").tobytes() if short else ids)
+
+
+def _ids(payload: bytes) -> bytes:
+    return np.frombuffer(payload, "<u2", offset=HEAD).astype("<u4").tobytes() if payload[0] & 2 else payload[HEAD:]
+
+
+def _record_sizes(numbers: np.ndarray) -> np.ndarray:
+    """Whole sizes of records, from the second number of their index rows."""
+    return (numbers >> 1) * np.where(numbers & 1, 2, 4) + HEAD + FRAME
 
 
 @dataclass
@@ -193,15 +210,13 @@ class _Writer(DataSourceArrowWriter):
             for batch in iterator:
                 for start, own in slices(batch.column("ids"), CHUNK):
                     keys = batch.column("key").slice(start, len(own)).to_pylist()
-                    payloads = [
-                        (b"\0" * HEAD if key is None else b"\1" + key.to_bytes(8, "little", signed=True)) + (value or b"")
-                        for key, value in zip(keys, own.to_pylist())
-                    ]
+                    payloads = [_payload(key, value) for key, value in zip(keys, own.to_pylist())]
+                    short = np.fromiter((p[0] >> 1 for p in payloads), np.int64, len(payloads))
                     sizes = np.fromiter(map(len, payloads), np.int64, len(payloads))
                     ends = offset + np.cumsum(sizes + FRAME)
-                    numbers = (sizes - HEAD) // 4
+                    numbers = (sizes - HEAD) // np.where(short, 2, 4)
                     data.write(_framed(payloads))
-                    index.write(np.stack([ends - sizes - FRAME, numbers], 1).astype("<u8").tobytes())
+                    index.write(np.stack([ends - sizes - FRAME, 2 * numbers + short], 1).astype("<u8").tobytes())
                     offset, records, ids = int(ends[-1]), records + len(payloads), ids + int(numbers.sum())
         return Part(order, name, records, ids)
 
@@ -239,8 +254,8 @@ class _Reader(DataSourceReader):
         store, folder = _store(self.path)
         with store.open_input_stream(f"{folder}/{partition.name}.index") as stream:
             offsets, numbers = np.frombuffer(stream.read(), "<u8").astype(np.int64).reshape(-1, 2).T
-        starts = partition.ids_before + np.cumsum(numbers) - numbers
-        sizes = 4 * numbers + HEAD + FRAME
+        starts = partition.ids_before + np.cumsum(numbers >> 1) - (numbers >> 1)
+        sizes = _record_sizes(numbers)
         if self.index_only:
             for at in range(0, len(offsets), 100_000):
                 to = slice(at, at + 100_000)
@@ -258,7 +273,7 @@ class _Reader(DataSourceReader):
 
 
 def _batch(payloads: list[bytes], starts: np.ndarray) -> pa.RecordBatch:
-    ids = pa.array([p[HEAD:] for p in payloads], pa.binary())
+    ids = pa.array([_ids(p) for p in payloads], pa.binary())
     return pa.RecordBatch.from_arrays([_keys(payloads), pa.array(starts, pa.int64()), ids], ["key", "start", "ids"])
 
 
@@ -314,7 +329,7 @@ def shuffled_records(spark: SparkSession, path: str, seed: int = 0) -> DataFrame
         store, folder = _store(path)
         files = {}
         for batch in batches:
-            sizes = 4 * batch.column("n").to_numpy() + HEAD + FRAME
+            sizes = _record_sizes(batch.column("n").to_numpy())
             ends = np.cumsum(sizes)
             done = 0
             while done < len(sizes):
