@@ -14,10 +14,9 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from grainfold.functions.numbers import all_finite, kept_rows
-from grainfold.session import local_table
+from grainfold.session import written
 
 
 WIDE = 1e6
@@ -66,58 +65,52 @@ def _find_cuts(rows, group, order, keep, buckets, rank_rows) -> DataFrame:
 
     ``_low_j`` and ``_high_j`` bound ordering column j inside the region and are null where
     it is not bounded; ``_need`` rows of the region are kept, after all rows before it.
+    The regions are a table throughout; of all groups the driver sees one row with the number of
+    those still searched and the deepest bounded column.
     """
-    first = rows.groupBy(group).agg(
-        F.count(F.lit(1)).alias("size"),
-        F.min(order[0]).alias("low"),
-        F.max(order[0]).alias("high"),
-    )
-    first = first.withColumn("need", kept_rows(keep, F.col("size")))
-    regions = {
-        row[group]: {
-            "need": row["need"],
-            "size": row["size"],
-            "all": row["need"] == row["size"],
-            "bounds": [(row["low"], row["high"])],
-        }
-        for row in first.collect()
-    }
-    types = [rows.schema[group], T.StructField("_need", T.LongType()),
-             T.StructField("_all", T.BooleanType())]
-
-    def table(keys):
-        """The regions of some groups, with as many bounds as the deepest one has."""
-        depth = max((len(regions[key]["bounds"]) for key in keys), default=1)
-        sides = [f"{side}{j}" for j in range(depth) for side in ("_low", "_high")]
-        data = []
-        for key in keys:
-            region = regions[key]
-            bounds = region["bounds"] + [(None, None)] * (depth - len(region["bounds"]))
-            data.append((key, region["need"], region["all"], *(v for b in bounds for v in b)))
-        schema = T.StructType(types + [T.StructField(side, T.DoubleType()) for side in sides])
-        return local_table(rows.sparkSession, data, schema)
-
-    searching = {key for key, region in regions.items() if not region["all"]}
+    size, low, high = F.count(F.lit(1)), F.min(order[0]), F.max(order[0])
+    regions = rows.groupBy(group).agg(size.alias("_size"), low.alias("_low0"), high.alias("_high0"))
+    regions = regions.withColumn("_need", kept_rows(keep, F.col("_size")))
+    regions = regions.withColumns({
+        "_all": F.col("_need") == F.col("_size"), "_at": F.lit(0), "_stuck": F.lit(False),
+        **{f"{side}{j}": F.lit(None).cast("double") for j in range(1, len(order)) for side in ("_low", "_high")},
+    })
+    regions = written(_with_open(regions, order, rank_rows), "regions")
     while True:
-        # groups whose region is small enough, or all one row, need no further search
-        for key in list(searching):
-            bounds = regions[key]["bounds"]
-            one_value = bounds[-1][0] == bounds[-1][1]
-            if regions[key]["size"] <= rank_rows or (one_value and len(bounds) == len(order)):
-                searching.discard(key)
-        if not searching:
-            return table(regions)
-        split = _split_regions(rows.join(table(searching), group), group, order, buckets)
-        for row in split.collect():
-            region = regions[row[group]]
-            depth = len(region["bounds"]) - 1
-            if (row["low"], row["high"]) == region["bounds"][depth] and row["low"] != row["high"]:
-                searching.discard(row[group])  # too close together to split any further
-            region["bounds"][depth] = (row["low"], row["high"])
-            region["size"] = row["size"]
-            region["need"] = row["need"]
-            if row["low"] == row["high"] and depth + 1 < len(order):
-                region["bounds"].append((row["next_low"], row["next_high"]))
+        searched, deepest = regions.agg(F.count_if("_open"), F.max("_at")).first()
+        unused = [f"{side}{j}" for j in range((deepest or 0) + 1, len(order)) for side in ("_low", "_high")]
+        found = regions.drop("_open", "_size", "_at", "_stuck", *unused)
+        if not searched:
+            return found
+        asked = regions.where("_open").drop("_open", "_size", "_at", "_all", *unused)
+        split = _split_regions(rows.join(asked, group), group, order, buckets)
+        regions = written(_with_open(_narrowed(regions, split, group, order), order, rank_rows), "regions")
+
+
+def _with_open(regions: DataFrame, order: Sequence[str], rank_rows: int) -> DataFrame:
+    """Groups whose region is small enough, or all one row, need no further search."""
+    last = len(order) - 1
+    one_row = (F.col("_at") == last) & F.coalesce(F.col(f"_low{last}") == F.col(f"_high{last}"), F.lit(False))
+    return regions.withColumn("_open", ~F.col("_all") & (F.col("_size") > rank_rows) & ~one_row)
+
+
+def _narrowed(regions: DataFrame, split: DataFrame, group: str, order: Sequence[str]) -> DataFrame:
+    """Regions with the buckets that ``split`` has found for some groups."""
+    both = regions.join(split, group, "left")
+    new, at = F.col("low").isNotNull(), F.col("_at")
+    one_value = new & (F.col("low") == F.col("high")) & (at < len(order) - 1)
+    columns, stuck = {}, F.lit(False)
+    for j in range(len(order)):
+        old_low, old_high = F.col(f"_low{j}"), F.col(f"_high{j}")
+        here, following = new & (at == j), one_value & (at == j - 1)
+        for side, old in (("low", old_low), ("high", old_high)):
+            columns[f"_{side}{j}"] = F.when(here, F.col(side)).when(following, F.col(f"next_{side}")).otherwise(old)
+        stuck = stuck | (here & (F.col("low") == old_low) & (F.col("high") == old_high) & (F.col("low") < F.col("high")))
+    columns |= {
+        "_size": F.coalesce("size", "_size"), "_need": F.coalesce("need", "_need"),
+        "_at": at + one_value.cast("int"), "_stuck": stuck,
+    }
+    return both.withColumns(columns).drop("need", "size", "low", "high", "next_low", "next_high")
 
 
 def _split_regions(placed: DataFrame, group: str, order: Sequence[str], buckets: int):
@@ -141,6 +134,8 @@ def _split_regions(placed: DataFrame, group: str, order: Sequence[str], buckets:
     at, least, most = (F.when(wide, _squeezed(x)).otherwise(x) for x in (value, low, high))
     share = F.when(most > least, (at - least) / (most - least)).otherwise(0.0)
     bucket = F.least(F.floor(share * buckets), F.lit(buckets - 1))
+    # values too close together for buckets: the least one, and all others
+    bucket = F.when(F.col("_stuck"), (value > low).cast("bigint")).otherwise(bucket)
     counts = (
         placed.where(_in_region(bounded))
         .select(group, F.col("_need").alias("_left"), bucket.alias("_bucket"),
