@@ -15,43 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grainfold.llm.tokens import (
-    LINE, Lines, Numbered, Ragged, byte_letters, flat, one_thread, simple_first, slices, split_units, sums,
+    LINE, Numbered, Ragged, UnitIds, flat, one_thread, simple_first, slices, split_units, sums,
 )
 from grainfold.llm.words import small_batches
 from grainfold.session import written
 
 
-class ByteLevel:
-    """Ids of units by a byte-level tokenizer, and the bytes of its ids."""
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        byte_of = {letter: byte for byte, letter in enumerate(byte_letters())}
-        vocabulary = self.tokenizer.get_vocab()
-        self.bytes = [b""] * (max(vocabulary.values()) + 1)
-        for token, i in vocabulary.items():
-            # added tokens are text, not byte letters; they never occur here
-            if all(letter in byte_of for letter in token):
-                self.bytes[i] = bytes(byte_of[letter] for letter in token)
-        self.starts = np.array([own[:1] == b" " for own in self.bytes])
-        self.lines = Lines(path, spaced=True, lower=False)
-
-    def _simple(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = self.lines.ids(units)
-        starts = np.flatnonzero(self.starts[ids])  # only first tokens begin with the space
-        return ids, np.diff(starts, append=len(ids))
-
-    def _alone(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        encoded = self.tokenizer.encode_batch_fast([" " + unit for unit in units], add_special_tokens=False)
-        return flat([e.ids for e in encoded])
-
-    def ids(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return simple_first(units, self._simple, self._alone)
-
-
 class Pieces:
     """Ids of units by a piece tokenizer that puts a space in front, and the bytes of its ids."""
 
@@ -84,11 +53,11 @@ class Pieces:
         # an empty text gets no space in front, so a lone space is looked up
         return flat([own or [self.space] for own in self.model.encode(units, num_threads=1)])
 
-    def ids(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def of_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         return simple_first(units, self._simple, self._alone)
 
 
-def same_bytes(a: ByteLevel, b: Pieces) -> np.ndarray:
+def same_bytes(a: UnitIds, b: Pieces) -> np.ndarray:
     """For each id of ``a`` that of ``b`` with the same bytes, -1 without one; pieces go before single-byte ids."""
     of = {own: i for i, own in enumerate(b.bytes) if own and b.byte_ids[i]}
     of.update((own, i) for i, own in enumerate(b.bytes) if own and not b.byte_ids[i])
@@ -104,7 +73,7 @@ class Aligner:
 
     def __init__(self, path_a: str, path_b: str):
         one_thread()
-        self.a, self.b = ByteLevel(path_a), Pieces(path_b)
+        self.a, self.b = UnitIds(path_a, special_as_text=True), Pieces(path_b)
         self.same = same_bytes(self.a, self.b)
         self.width = len(self.b.bytes)
         self.length_a = np.fromiter(map(len, self.a.bytes), np.int64)
@@ -117,8 +86,8 @@ class Aligner:
         self.groups: list[pa.Array] = []
 
     def _learn(self, units: list[str]) -> None:
-        ids_a, size_a = self.a.ids(units)
-        ids_b, size_b = self.b.ids(units)
+        ids_a, size_a = self.a.of_units(units)
+        ids_b, size_b = self.b.of_units(units)
         raw = [b" " + unit.encode() for unit in units]
         size = np.fromiter(map(len, raw), np.int64, len(raw))
         fit = (sums(self.length_a[ids_a], size_a) == size) & (sums(self.length_b[ids_b], size_b) == size)
@@ -145,7 +114,7 @@ class Aligner:
     def align(self, texts: pa.Array) -> dict[str, np.ndarray | pa.Array]:
         """Numbers of each text, its distinct links with their numbers, and its groups as text."""
         pieces = split_units(texts)
-        unit = self.units.numbers(pieces)
+        unit = self.units.numbers(pieces.flatten())
         size = pc.list_value_length(pieces).to_numpy().astype(np.int64)
         counts = self.counts.values[: 5 * self.counts.lists].reshape(-1, 5)
         fit = sums(1 - counts[unit, 0], size) == 0

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -12,14 +11,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from grainfold.llm.tokens import slices, unit_ids
 from grainfold.llm.words import small_batches
 from grainfold.session import written
 
 LIMIT = 2048
 GROUP = 20_000
 NODES = 4_000
-CACHED_PIECES = 100_000
-SUB_BATCH = 256
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, row long"
 
@@ -27,97 +25,6 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, row l
 # --- tokens -------------------------------------------------------------------------------
 
 
-class Growing:
-    """A numpy array that grows at its end."""
-
-    def __init__(self, kind: type):
-        self.room = np.zeros(1024, kind)
-        self.size = 0
-
-    def extend(self, values: np.ndarray) -> None:
-        while self.size + len(values) > len(self.room):
-            self.room = np.concatenate([self.room, np.zeros_like(self.room)])
-        self.room[self.size : self.size + len(values)] = values
-        self.size += len(values)
-
-
-class WordCache:
-    """Token ids of texts, with every distinct space-delimited piece tokenized once.
-
-    The byte-level pre-tokenizer always cuts before a space that a visible character follows,
-    so the ids of a text are those of its pieces in a row. Texts that hold an added token, such
-    as ``<|endoftext|>``, are tokenized whole. The cache is emptied when it holds
-    ``CACHED_PIECES`` pieces, which bounds its memory and never changes a result.
-    """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        (self.line_break,) = self._encode(["\n"])[0]
-        self.clear()
-
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.starts, self.sizes, self.flat = Growing(np.int64), Growing(np.int64), Growing(np.uint32)
-
-    def _add(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray, first: np.ndarray) -> None:
-        self.index.update(zip(pieces, range(len(self.index), len(self.index) + len(pieces))))
-        self.starts.extend(self.flat.size + first)
-        self.sizes.extend(sizes)
-        self.flat.extend(ids)
-
-    def learn(self, pieces: list[str]) -> None:
-        """Tokenize new pieces: those of one word as lines of a text, a line break being a token
-        of its own between them, and those with inner white space each alone."""
-        plain = [p for p in pieces if len(p.split()) == 1 and p.lstrip(" ") == p.strip()]
-        if plain:
-            lines = ["\n".join(plain[i : i + 256]) + "\n" for i in range(0, len(plain), 256)]
-            ids = np.concatenate([np.array(x, np.uint32) for x in self._encode(lines)])
-            ends = np.flatnonzero(ids == self.line_break)
-            first = np.append(0, ends[:-1] + 1)
-            self._add(plain, ids, ends - first, first)
-        if rest := sorted(set(pieces).difference(plain)):
-            encoded = self._encode(rest)
-            sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-            ids = np.array([i for own in encoded for i in own], np.uint32)
-            self._add(rest, ids, sizes, np.cumsum(sizes) - sizes)
-
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        whole = [any(token in t for token in self.added) for t in texts]
-        split = [[] if w else _pieces(t) for t, w in zip(texts, whole)]
-        if len(self.index) > CACHED_PIECES:
-            self.clear()
-        new = {p for pieces in split for p in pieces}.difference(self.index)
-        if new:
-            self.learn(list(new))
-        find = self.index.__getitem__
-        return [
-            np.array(self._encode([t])[0], np.uint32) if w
-            else self._join(np.fromiter(map(find, pieces), np.int64, len(pieces)))
-            for t, w, pieces in zip(texts, whole, split)
-        ]
-
-    def _join(self, at: np.ndarray) -> np.ndarray:
-        sizes = self.sizes.room[at]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        shift = np.repeat(self.starts.room[at] - (ends - sizes), sizes)
-        return self.flat.room[shift + np.arange(total)]
-
-
-def _pieces(text: str) -> list[str]:
-    if re.search(r" (?:\s|\Z)", text):
-        return [p for p in re.split(r"(?= \S)", text) if p]
-    first, *rest = text.split(" ")
-    pieces = [" " + p for p in rest]
-    return [first, *pieces] if first else pieces
-
-
 def cut(total: int, limit: int) -> list[tuple[int, int]]:
     """Start and length of the pieces of ``total`` tokens: full ones behind a shorter first."""
     if total <= limit:
@@ -136,29 +43,35 @@ def token_pieces(docs: DataFrame, tokenizer: str, limit: int = LIMIT, keep_ids:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordCache(tokenizer)  # its memory ends with the task
+        units = unit_ids(tokenizer)
         row = TaskContext.get().partitionId() << 36
-        for whole in batches:
-            for at in range(0, whole.num_rows, SUB_BATCH):
-                batch = whole.slice(at, SUB_BATCH)
-                out = []
-                texts = [t or "" for t in batch.column(1).to_pylist()]
-                for doc, ids in zip(batch.column(0).to_pylist(), cache.ids(texts)):
-                    ids = np.append(ids, np.uint32(0)).astype("<u4")
-                    for k, (start, size) in enumerate(cut(len(ids), limit)):
-                        own = ids[start : start + size]
-                        out.append((doc, k, start, size, zlib.crc32(own.tobytes()), row, own if keep_ids else None))
-                        row += 1
-                columns = list(zip(*out))[: 7 if keep_ids else 6]
-                kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 4, pa.list_(pa.int32())]
-                names = ["doc_id", "piece", "start", "length", "ids_crc32", "row", "ids"]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(c), k) for c, k in zip(columns, kinds)], names[: len(columns)]
-                )
+        names = [part.split()[0] for part in PIECES.split(", ")] + ["ids"] * keep_ids
+        for batch in batches:
+            for at, texts in slices(batch.column("text")):
+                values, sizes = units.ids(texts)
+                doc_ends = np.cumsum(sizes + 1)
+                ids = np.zeros(int(doc_ends[-1]), "<u4")  # the last id of each document stays 0
+                ids[np.arange(len(values)) + np.repeat(np.arange(len(sizes)), sizes)] = values
+                pieces = [cut(n, limit) for n in (sizes + 1).tolist()]
+                count = np.fromiter(map(len, pieces), np.int64, len(pieces))
+                start, length = np.array([p for own in pieces for p in own], np.int64).T
+                ends = np.cumsum(length)
+                raw = memoryview(ids).cast("B")
+                crc = [zlib.crc32(raw[4 * (end - n) : 4 * end]) for end, n in zip(ends.tolist(), length.tolist())]
+                doc = batch.column("doc_id").slice(at, len(texts)).take(pa.array(np.repeat(np.arange(len(texts)), count)))
+                place = np.arange(len(length)) - np.repeat(np.cumsum(count) - count, count)
+                columns = [doc, pa.array(place, pa.int32()), *map(pa.array, (start, length)), pa.array(crc, pa.int64()),
+                           pa.array(np.arange(row, row + len(length)))]
+                if keep_ids:
+                    offsets = pa.array(np.append(0, ends), pa.int32())
+                    columns.append(pa.ListArray.from_arrays(offsets, pa.array(ids.view(np.int32))))
+                row += len(length)
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     small_batches(docs.sparkSession)
     schema = PIECES + (", ids array<int>" if keep_ids else "")
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return rows.mapInArrow(run, schema)
 
 
 # --- packing ------------------------------------------------------------------------------
@@ -375,7 +288,8 @@ def pack(pieces: DataFrame, limit: int = LIMIT, group: int = GROUP) -> DataFrame
 
     The pieces are dealt by their unique ``row`` into groups of about ``group``, however many
     documents or lengths are equal, and each group is packed in a task of its own; a group
-    loses less than one sequence against a packing of all.
+    loses less than one sequence against a packing of all. Only lengths go there; ids, if there
+    are any, meet their places in a join.
     """
     groups = max(1, -(-pieces.count() // group))
 
@@ -393,13 +307,12 @@ def pack(pieces: DataFrame, limit: int = LIMIT, group: int = GROUP) -> DataFrame
                 i = by_size[size].pop()
                 sequence[i], offset[i] = base + number, at
                 at += size
-        packed = table.drop_columns(["part", "row"])
-        return packed.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
+        return pa.table({"row": table["row"], "sequence_id": sequence, "offset": offset})
 
-    names = [f for f in pieces.schema if f.name != "row"]
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in names)
-    dealt = pieces.withColumn("part", F.pmod(F.xxhash64("row"), F.lit(groups)))
-    return dealt.groupBy("part").applyInArrow(run, schema + ", sequence_id long, offset long")
+    part = F.pmod(F.xxhash64("row"), F.lit(groups)).alias("part")
+    dealt = pieces.select(part, "row", "length").groupBy("part")
+    places = dealt.applyInArrow(run, "row long, sequence_id long, offset long")
+    return pieces.join(places, "row").drop("row")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, limit: int = LIMIT, keep_ids: bool = False) -> DataFrame:

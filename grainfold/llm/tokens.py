@@ -105,11 +105,11 @@ class Numbered:
         self.learn, self.forget, self.index, self.held = learn, forget, {}, 0
         forget()
 
-    def numbers(self, pieces: pa.ListArray) -> np.ndarray:
+    def numbers(self, pieces: pa.Array) -> np.ndarray:
         if self.held > KEPT_LENGTH or len(self.index) > KEPT:
             self.index, self.held = {}, 0
             self.forget()
-        coded = pieces.flatten().dictionary_encode()
+        coded = pieces.dictionary_encode()
         distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # several times faster than to_pylist
         new = [piece for piece in distinct if piece not in self.index]
         if new:
@@ -228,11 +228,79 @@ class WordIds:
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row and their number in each."""
         pieces = split_words(texts)
-        values, sizes = self.kept.take(self.words.numbers(pieces))
+        numbers = self.words.numbers(pieces.flatten())  # may start ``kept`` anew
+        values, sizes = self.kept.take(numbers)
         return values, sums(sizes, pc.list_value_length(pieces).to_numpy().astype(np.int64))
 
 
+class UnitIds:
+    """Ids of texts by a byte-level tokenizer, unit by unit; see ``split_units``.
+
+    ``special_as_text`` takes the strings of special tokens in texts for ordinary text.
+    """
+
+    def __init__(self, path: str, special_as_text: bool = False):
+        from tokenizers import Tokenizer
+
+        one_thread()
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = special_as_text
+        byte_of = {letter: byte for byte, letter in enumerate(byte_letters())}
+        vocabulary = self.tokenizer.get_vocab()
+        self.bytes = [b""] * (max(vocabulary.values()) + 1)
+        for token, i in vocabulary.items():
+            # special tokens are not spelled in byte letters
+            if all(letter in byte_of for letter in token):
+                self.bytes[i] = bytes(byte_of[letter] for letter in token)
+        self.starts = np.array([own[:1] == b" " for own in self.bytes])
+        self.lines = Lines(path, spaced=True, lower=False)
+        self.units = Numbered(self._learn, self._forget)
+
+    def _forget(self) -> None:
+        self.kept = Ragged(np.uint32)
+
+    def _learn(self, units: list[str]) -> None:
+        self.kept.extend(*self.of_units(units))
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return flat([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+
+    def _simple(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = self.lines.ids(units)
+        starts = np.flatnonzero(self.starts[ids])  # only first tokens begin with the space
+        return ids, np.diff(starts, append=len(ids))
+
+    def of_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number for each unit, given without the space in front."""
+        return simple_first(units, self._simple, lambda some: self._encode([" " + unit for unit in some]))
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row and their number in each."""
+        units = split_units(texts)
+        size = pc.list_value_length(units).to_numpy().astype(np.int64)
+        every = units.flatten()
+        # a text begins without a space
+        first = np.zeros(len(every), bool)
+        first[np.cumsum(size) - size] = True
+        values, sizes = self._encode(every.filter(pa.array(first)).to_pylist())
+        numbers = self.units.numbers(every.filter(pa.array(~first)))  # may start ``kept`` anew
+        more, more_sizes = self.kept.take(numbers)
+        both = Ragged(np.uint32)
+        both.extend(values, sizes)
+        both.extend(more, more_sizes)
+        order = np.empty(len(every), np.int64)
+        order[first], order[~first] = np.arange(len(size)), np.arange(len(size), len(every))
+        values, sizes = both.take(order)
+        return values, sums(sizes, size)
+
+
 @cache
 def word_ids(path: str) -> WordIds:
     """One for all tasks of a Python worker."""
     return WordIds(path)
+
+
+@cache
+def unit_ids(path: str) -> UnitIds:
+    """One for all tasks of a Python worker."""
+    return UnitIds(path)

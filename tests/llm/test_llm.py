@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from compare import database, difference
 from conftest import TABLES
@@ -20,6 +21,7 @@ from grainfold.llm import ann, chat, decontaminate, katz, language, minhash, pac
 from grainfold.llm.components import components
 from grainfold.llm.oracle import ORACLE
 from grainfold.llm.queries import QUERIES, TOKENIZER
+from grainfold.llm.tokens import unit_ids
 from grainfold.llm import words as expressions
 from grainfold.llm.words import NOT_ALNUM, NOT_ALNUM_CASED, SPACES, fold, word_count
 
@@ -169,7 +171,8 @@ def test_added_tokens_in_texts():
     texts = ["a  <|endoftext|>  b", "<|endoftext|>", "plain  text", "x<|endoftext|>\ny <|endoftext|><|endoftext|> z ", "", "<|endoftext"]
     plain = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
     assert len(plain[1]) == 1
-    assert [ids.tolist() for ids in packing.WordCache(TOKENIZER).ids(texts)] == plain
+    values, sizes = unit_ids(TOKENIZER).ids(pa.array(texts))
+    assert [ids.tolist() for ids in np.split(values, np.cumsum(sizes)[:-1])] == plain
 
 
 @pytest.mark.parametrize("seed", range(6))

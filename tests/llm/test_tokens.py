@@ -14,9 +14,9 @@ from conftest import TABLES
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from grainfold.llm import alignment, bitplanes, records
+from grainfold.llm import alignment, bitplanes, records, tokens
 from grainfold.llm.queries import PIECES, QUERIES, TOKENIZER, WORDS
-from grainfold.llm.tokens import split_units, word_ids
+from grainfold.llm.tokens import split_units, unit_ids, word_ids
 
 ODD = [
     "a  b", "  x", " ", "   ", "\n \n  y\t z ", "▁foo", "<|endoftext|> <s> <0x41>", "é ß日本語 🎉x", "a\x1c b  c  d  e",
@@ -113,6 +113,24 @@ def test_units_put_texts_together():
         assert "".join(" " + unit for unit in units) == " " + text
 
 
+def test_caches_start_anew(some, monkeypatch):
+    """What a text gives does not hang on what the caches hold, or drop in between."""
+    texts = [row.text or "" for row in some.collect()] + [text for text in ODD if text is not None]
+    batches = [pa.array(texts[i : i + 7]) for i in range(0, len(texts), 7)]
+    whole = [word_ids(WORDS).ids(b) for b in batches], [unit_ids(TOKENIZER).ids(b) for b in batches]
+    aligned = [alignment.Aligner(TOKENIZER, PIECES).align(b) for b in batches]
+    monkeypatch.setattr(tokens, "KEPT", 100)
+    again = tokens.WordIds(WORDS), tokens.UnitIds(TOKENIZER)
+    for own, expected in zip(again, whole):
+        for batch, (values, sizes) in zip(batches, expected):
+            got = own.ids(batch)
+            assert (got[0] == values).all() and (got[1] == sizes).all()
+    aligner = alignment.Aligner(TOKENIZER, PIECES)
+    for batch, expected in zip(batches, aligned):
+        got = aligner.align(batch)
+        assert all(pa.array(got[name]).equals(pa.array(value)) for name, value in expected.items())
+
+
 # --- 12 -----------------------------------------------------------------------------------
 
 
@@ -188,8 +206,9 @@ def test_checksums():
     assert records.crc32c(parts).tolist() == [plain_crc(part) for part in parts]
 
 
-def test_word_ids_equal_the_tokenizer(some):
-    plain, own = Tokenizer.from_file(WORDS), word_ids(WORDS)
+@pytest.mark.parametrize("path, make", [(WORDS, word_ids), (TOKENIZER, unit_ids)])
+def test_ids_equal_the_tokenizer(some, path, make):
+    plain, own = Tokenizer.from_file(path), make(path)
     texts = [text for text in ODD if text is not None] + [row.text or "" for row in some.collect()]
     values, sizes = own.ids(pa.array(texts))
     expected = [plain.encode(text, add_special_tokens=False).ids for text in texts]
