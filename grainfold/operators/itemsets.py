@@ -23,8 +23,8 @@ def basket_fragments(pairs: DataFrame, basket: str, item: str, length: int = FRA
     """``basket, fragment, items``: the distinct items of a basket, ascending, about ``length`` a fragment.
 
     Fragments are numbered from 0; items go to them by their hash, so none is met twice. A basket
-    of up to ``length`` items is one fragment. However large a basket is, no row and no task holds
-    more than a fragment of it at a time.
+    of up to ``length`` items is one fragment. However large a basket is, no row holds more than a
+    fragment of it. Null baskets and items take no part, so a basket of nulls only gives no row.
     """
     rows = pairs.select(F.col(basket).alias("_basket"), F.col(item).alias("_item"))
     rows = written(rows.where(F.col("_basket").isNotNull() & F.col("_item").isNotNull()).distinct(), "pairs")
