@@ -76,7 +76,8 @@ def _sample(docs: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
     share = F.lit(0.0)
     for flag, n in sizes.items():
         share = F.when(F.col("toxic") == flag, min(1.0, per_class / n)).otherwise(share)
-    chosen = flags.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000)
+    # written, so that its size is known and the texts are not shuffled for a few thousand ids
+    chosen = written(flags.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000), "chosen")
     own = docs.where("text is not null").select(F.col("doc_id").cast("long"), "text")
     return own.join(chosen, "doc_id").select("doc_id", "text", "toxic")
 

@@ -256,6 +256,13 @@ def test_toxicity(spark, docs, odd, empty):
     assert not any(r.rejected for r in toxicity.graded(odd, labels.limit(0)).collect())
 
 
+def test_texts_are_not_shuffled_for_the_sample(spark):
+    wide = spark.range(300_000).selectExpr("id as doc_id", "repeat('some text ', 20) as text")
+    labels = spark.range(10_000).selectExpr("id * 30 as doc_id", "cast(id % 2 as int) as toxic")
+    plan = toxicity._sample(wide, labels, 5_000)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
 def test_thresholds_are_ordered():
     draw = np.random.default_rng(0)
     x = draw.integers(0, 3, (400, 5)).astype(np.float32)
