@@ -26,15 +26,15 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: Entries of a block of baskets; one longer basket is a block of its own.
 BLOCK = 1_000_000
 #: Entries that a task counts at a time.
-CHUNK = 8_000_000
+CHUNK = 2_000_000
 #: Words of 64 rows in the bitmaps of a chunk.
-WORDS = 8_000_000
+WORDS = 2_000_000
 #: Pairs of a chunk that are listed at a time.
-PAIRS = 20_000_000
+PAIRS = 4_000_000
 #: A chunk with no more pairs reports all of them, whatever their share.
 REPORTED = 100_000
 #: Given sets per file.
-SETS = 1_000_000
+SETS = 250_000
 
 
 # --- blocks of baskets --------------------------------------------------------------------
@@ -130,8 +130,10 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
             items.append(one.column("held").flatten().to_numpy())
             entries += len(items[-1])
             if entries >= CHUNK:
-                yield Chunk(np.concatenate(sizes), np.concatenate(items))
+                chunk = Chunk(np.concatenate(sizes), np.concatenate(items))
                 sizes, items, entries = [], [], 0
+                yield chunk
+                del chunk  # not kept while the next one is made
     if entries:
         yield Chunk(np.concatenate(sizes), np.concatenate(items))
 

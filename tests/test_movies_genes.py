@@ -1,5 +1,6 @@
 import inspect
 import random
+import tracemalloc
 from collections import Counter
 from itertools import combinations
 
@@ -121,6 +122,25 @@ def test_small_blocks_and_chunks_change_nothing(spark, monkeypatch, settings, su
     assert got == brute_sets(baskets, support, 10)
 
 
+@pytest.mark.parametrize("kinds", [150, 6000])
+def test_memory_of_counting_is_bounded(kinds):
+    """What a task holds for its chunks does not follow its baskets; four tasks share an executor's Python memory."""
+    draw = np.random.default_rng(1)
+    sizes = np.full(200_000, 5, np.int32)
+    items = np.sort(np.arange(1_000_000).reshape(-1, 5) * 7919 % kinds + np.arange(5) * kinds + draw.integers(0, 2), axis=1)
+
+    def peak(blocks):
+        tracemalloc.start()
+        for chunk in counting.chunks(counting._block([sizes], [items.ravel()]) for _ in range(blocks)):
+            for _ in counting.pairs_in(chunk):
+                pass
+        top = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return top
+
+    assert peak(9) < 300e6
+
+
 @pytest.mark.parametrize("way", [counting.pairs_by_lists, counting.pairs_by_bitmaps])
 def test_pairs_of_a_chunk(monkeypatch, way):
     draw = random.Random(8)
