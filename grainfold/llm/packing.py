@@ -87,19 +87,13 @@ class Sizes:
     def take(self, size: int) -> None:
         self.left[size] -= 1
         if not self.left[size]:
-            lower = self.below[size - 1]
-            end = size
-            while end < len(self.below) and self.below[end] == size:
-                end += 1
-            self.below[size:end] = lower
+            # ``below`` never falls, so that runs of it end where a search says
+            self.below[size : np.searchsorted(self.below, size, "right")] = self.below[size - 1]
 
     def give(self, size: int) -> None:
         self.left[size] += 1
         if self.left[size] == 1:
-            end = size
-            while end < len(self.below) and self.below[end] < size:
-                end += 1
-            self.below[size:end] = size
+            self.below[size : np.searchsorted(self.below, size)] = size
 
     def largest(self) -> int:
         return int(self.below[-1])

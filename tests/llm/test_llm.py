@@ -159,6 +159,36 @@ def test_packing(docs, texts):
     assert n <= -(-sum(r.length for r in rows) // 2048) + 1
 
 
+def test_sizes_left():
+    """Sizes taken and given back one at a time, in time that does not follow the gaps between them."""
+    draw = np.random.default_rng(3)
+    sizes = np.append(draw.integers(1, 300, 500), [2048, 2000, 1])
+    left, held = packing.Sizes(sizes, 2048), sizes.tolist()
+    for _ in range(600):
+        own = int(draw.choice(held))
+        held.remove(own)
+        left.take(own)
+        if draw.random() < 0.5:
+            own = int(draw.integers(1, 2049))
+            held.append(own)
+            left.give(own)
+        expected = packing.Sizes(np.array(held), 2048)
+        assert (left.left == expected.left).all() and (left.below == expected.below).all()
+        if len(held) < 2:
+            break
+    reads = []
+
+    class Watched(np.ndarray):
+        def __getitem__(self, at):
+            reads.append(at)
+            return super().__getitem__(at)
+
+    left = packing.Sizes(np.array([1, 2048]), 2048)
+    left.below = left.below.view(Watched)
+    left.take(2048), left.take(1), left.give(1)
+    assert len(reads) < 10
+
+
 def test_packing_odd_rows(odd, empty):
     rows = packing.pack_documents(odd, TOKENIZER, keep_ids=True).collect()
     check_packing(rows, [(r[0], r[1]) for r in ODD])
