@@ -17,6 +17,8 @@ from grainfold.session import written
 
 WINDOW = 10
 BROADCAST_WINDOWS = 1_000_000
+#: The same for the keys of documents that go.
+BROADCAST_KEYS = 1_000_000
 KEY = ["id_key", "text_key"]
 
 
@@ -47,12 +49,8 @@ def item_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     return rows.withColumn("hash", F.xxhash64("window")).distinct()
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame | None:
-    """Verified hits by document: id_key, text_key, spans and items; None if no item has a word.
-
-    spans: struct (start, length) by start, the first word of a text being 1. items: distinct ids of
-    the items whose windows occur, as strings, sorted. Runs jobs when called.
-    """
+def _verified(docs: DataFrame, benchmark: DataFrame, size: int) -> tuple[DataFrame, DataFrame] | None:
+    """The windows of the benchmark, and (keys, start, length, hash) of where they occur; None if there are none."""
     windows = written(item_windows(benchmark, size), "windows")
     known = windows.select("length", "hash").distinct()
     lengths = sorted(r.length for r in known.select("length").distinct().collect())  # size at most
@@ -77,11 +75,23 @@ def hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame
             F.slice("words", p.start, p.length).alias("window"),
         )
     )
-    # only texts with places are split again
-    hit = keyed.join(places, KEY).select(*KEY, "places", words(F.col("text"), NOT_ALNUM).alias("words"))
+    # only texts with places are split again; always by a merge join: places may be a broadcast on little data, not on much
+    hit = keyed.join(places.hint("merge"), KEY).select(*KEY, "places", words(F.col("text"), NOT_ALNUM).alias("words"))
     seen = hit.select(*KEY, F.inline(verbatim)).distinct()
     verified = seen.join(windows.select("length", "hash", "window").distinct(), ["length", "hash", "window"])
-    verified = written(verified.select(*KEY, "start", "length", "hash"), "verified")
+    return windows, written(verified.select(*KEY, "start", "length", "hash"), "verified")
+
+
+def hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame | None:
+    """Verified hits by document: id_key, text_key, spans and items; None if no item has a word.
+
+    spans: struct (start, length) by start, the first word of a text being 1. items: distinct ids of
+    the items whose windows occur, as strings, sorted. Runs jobs when called.
+    """
+    found = _verified(docs, benchmark, size)
+    if found is None:
+        return None
+    windows, verified = found
     spans = verified.groupBy(*KEY).agg(F.array_sort(F.collect_set(F.struct("start", "length"))).alias("spans"))
     of_window = windows.where("item_id is not null").select("item_id", "length", "hash").distinct()
     items = verified.select(*KEY, "length", "hash").distinct().join(of_window, ["length", "hash"])
@@ -132,8 +142,11 @@ def hit_report(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> Dat
 
 def without_hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """``docs`` without the documents that hold a benchmark window; all columns stay."""
-    found = hits(docs, benchmark, size)
+    found = _verified(docs, benchmark, size)
     if found is None:
         return docs
+    gone = written(found[1].select(*KEY).distinct(), "gone")
+    # the documents themselves are only shuffled where very many go
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_KEYS else gone.hint("merge")
     keyed = _keyed(docs.withColumn("row", F.struct(*docs.columns)).select("row", "doc_id", "text"))
-    return keyed.join(found.select(*KEY), KEY, "left_anti").select("row.*")
+    return keyed.join(gone, KEY, "left_anti").select("row.*")

@@ -548,6 +548,29 @@ def test_decontamination_odd_rows(spark, odd, empty):
     assert not any(r.contaminated for r in decontaminate.hit_report(odd, bench.limit(0)).collect())
 
 
+def test_decontamination_shuffles_texts_as_much_on_little_data(spark, settings, monkeypatch):
+    """One join of texts, the same on tables of any size; whole documents stay where they are unless very many go."""
+    w = SENTENCE.split()
+    rows = [(1, SENTENCE), (1, SENTENCE), (2, " ".join(["x"] * 30 + w[2:14])), (3, " ".join(w[:8])), (4, None), (None, SENTENCE.upper())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([("a", SENTENCE), ("b", "lazy dog"), ("c", " ".join(w[3:13]))], "item_id string, text string")
+    plans = {}
+
+    def kept(df, label, write=decontaminate.written):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, label)
+
+    monkeypatch.setattr(decontaminate, "written", kept)
+    assert [r.doc_id for r in decontaminate.without_hits(docs, bench).collect()] == [3, 4]
+    assert "SortMergeJoin" in plans["verified"]
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    left = decontaminate.without_hits(docs, bench)
+    assert "Exchange hashpartitioning" not in left._jdf.queryExecution().executedPlan().toString()
+    assert [r.doc_id for r in left.collect()] == [3, 4]
+    monkeypatch.setattr(decontaminate, "BROADCAST_KEYS", 0)
+    assert [r.doc_id for r in decontaminate.without_hits(docs, bench).collect()] == [3, 4]
+
+
 BASE = [
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
     ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"),
