@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grainfold.session import written
@@ -25,27 +25,24 @@ def _among_smaller(links: DataFrame) -> DataFrame:
     return moved.unionByName(own).where("a < b").distinct()
 
 
-def _written(links: DataFrame) -> tuple[DataFrame, tuple]:
-    """Written links with their number and a sum of their hashes, observed on the way."""
-    seen = Observation()
-    hashes = F.sum(F.xxhash64("a", "b").cast("decimal(38)"))
-    table = written(links.observe(seen, F.count(F.lit(1)).alias("n"), hashes.alias("hashes")), "links")
-    return table, (seen.get["n"], seen.get["hashes"])
+def _are_stars(links: DataFrame) -> bool:
+    """Whether every node either starts links or ends a single one."""
+    ends = F.explode(F.array(*(F.struct(F.col(c).alias("node"), F.lit(n).alias("end")) for c, n in (("a", 0), ("b", 1)))))
+    nodes = links.select(ends.alias("at")).groupBy("at.node").agg(F.sum("at.end").alias("ends"), F.min("at.end").alias("least"))
+    return not nodes.agg(F.max((F.col("ends") > 1) | ((F.col("ends") == 1) & (F.col("least") == 0)))).first()[0]
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of ``links`` (a, b): the smallest node it is linked with.
 
-    Alternates the two star operations until the links are stars, about log(n) rounds; each
+    ``links`` is read several times. Alternates the two star operations until the links are stars, about log(n) rounds; each
     round is written, and runs when this is called. Links of a node with itself or with
     null are ignored.
     """
-    ordered = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    stars, before = _written(ordered.where("a < b").distinct())
-    while before[0]:
-        stars, now = _written(_among_smaller(_toward_smaller(stars)))
-        if now == before:
+    stars = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b")
+    while True:
+        stars = written(_among_smaller(_toward_smaller(stars)), "links")
+        if _are_stars(stars):
             break
-        before = now
     centres = stars.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
     return stars.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(centres)

@@ -13,6 +13,7 @@ similar sets must share.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +35,8 @@ AGREEING = 0.53
 #: A bucket whose open pairs are at most so many times its members is compared in full.
 LIGHT = 8
 LEADERS = 512
+#: A crowded bucket may have more leaders in a round, as long as they make no more pairs.
+PAIRED = 4_000_000
 BLOCK = 1024
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -386,7 +389,8 @@ def _deal_again(linker: Linker, ids: DataFrame) -> None:
     """The exact way for crowded buckets: members meet by shared rare shingles.
 
     Each round compares up to ``LEADERS`` sets of a bucket, that can be the smaller one of a similar pair,
-    with its members of other components, until no such set is left.
+    with its members of other components, until no such set is left; more in small buckets, so that these
+    need one round.
     """
     ids = written(ids, "crowded")
     sets = linker.sets.join(ids, "doc_id", "left_semi")
@@ -396,15 +400,17 @@ def _deal_again(linker: Linker, ids: DataFrame) -> None:
     while True:
         own = linker.labelled(members.select("key", "doc_id", "n", "left", "short", "met"))
         mixed = own.groupBy("key").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.max("short").alias("some")
+            F.min("component").alias("low"), F.max("component").alias("high"), F.max("short").alias("some"),
+            F.count("*").alias("m"),
         )
-        mixed = mixed.where("low <> high and some").select("key")
-        own = written(own.join(mixed, "key", "left_semi"), "rare")
+        mixed = mixed.where("low <> high and some").select("key", "m")
+        own = written(own.join(mixed, "key"), "rare")
         if own.isEmpty():
             return
         by_key = Window.partitionBy("key").orderBy(F.desc("met"), "doc_id")
         ranked = own.where("short").withColumn("rank", F.row_number().over(by_key))
-        leaders = ranked.where(F.col("rank") <= LEADERS).select(
+        rank, most = F.col("rank"), max(LEADERS, math.isqrt(PAIRED))
+        leaders = ranked.where((rank <= most) & ((rank <= LEADERS) | (rank * F.col("m") <= PAIRED))).select(
             "key", F.col("doc_id").alias("a"), F.col("n").alias("of"), F.col("left").alias("left_a"), F.col("component").alias("of_a")
         )
         leaders = written(leaders, "leaders")

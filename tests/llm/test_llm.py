@@ -400,6 +400,39 @@ def test_crowded_path_alone(spark, settings, monkeypatch):
     test_near_duplicates_in_crowded_buckets(spark)
 
 
+@pytest.mark.parametrize("paired, rounds", [(4_000_000, 1), (0, 3)])
+def test_rounds_of_crowded_buckets(spark, monkeypatch, paired, rounds):
+    """Buckets of few pairs are compared in one round; larger ones take several, with the same result."""
+    labels = []
+
+    def kept(df, label, write=minhash.written):
+        labels.append(label)
+        return write(df, label)
+
+    monkeypatch.setattr(minhash, "written", kept)
+    monkeypatch.setattr(minhash, "PAIRED", paired, raising=False)
+    test_crowded_path_alone(spark, None, monkeypatch)
+    assert labels.count("leaders") == 1 if rounds == 1 else labels.count("leaders") >= rounds
+
+
+def test_components_of_stars(spark, monkeypatch):
+    """Links that are stars after one round need no other."""
+    from grainfold.llm import components as module
+
+    rounds = []
+
+    def kept(df, label, write=module.written):
+        rounds.append(label)
+        return write(df, label)
+
+    monkeypatch.setattr(module, "written", kept)
+    links = [(1, 2), (3, 1), (1, 4), (1, 2), (5, 5), (None, 6), (9, 8)]
+    found = components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert sorted(map(tuple, found)) == [(1, 1), (2, 1), (3, 1), (4, 1), (8, 8), (9, 8)]
+    assert len(rounds) == 1
+    assert components(spark.createDataFrame([(5, 5), (None, 6)], "a long, b long")).count() == 0
+
+
 def test_near_duplicates_odd_rows(odd, empty):
     rows = sorted((r.doc_id or 0, r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(odd).collect()
                   if r.doc_id)
