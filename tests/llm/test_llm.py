@@ -484,6 +484,56 @@ def test_repeats_odd_rows(odd, empty, spark):
     assert suffixes.without_repeats(empty).count() == 0
 
 
+def test_repeats_of_near_copies(spark, monkeypatch):
+    draw = np.random.default_rng(7)
+    base = "".join(draw.choice(list("abcdefgh ü"), 2_000))
+    rows = []
+    for d in range(40):
+        at = draw.integers(0, len(base), 3)
+        text = "".join(("#" + str(d) if i in at[:2] else "" if i == at[2] else c) for i, c in enumerate(base))
+        rows.append((d, text[draw.integers(0, 400) : draw.integers(900, 2_100)]))
+    rows += [(40, rows[0][1]), (40, rows[0][1]), (41, "ab" * 400 + base[300:620]), (42, base[301:510])]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    write, sizes = suffixes.written, {}
+
+    def kept(df, label):
+        sizes[label] = (out := write(df, label)).count()
+        return out
+
+    monkeypatch.setattr(suffixes, "written", kept)
+    assert removed(table) == plain_removal(rows, 200)
+    # strings of units that differ are no rows of a table; 20,218 of them were written
+    assert sum(sizes.values()) < 2_500
+
+
+def test_pieces(monkeypatch):
+    raw = np.random.default_rng(8).integers(97, 100, 3_000).astype(np.uint8)
+    first, last, sample, gram, _ = suffixes.text_units(raw)
+    place = (first << 32) | ((last - first) << 16) | (sample - first)
+    assert all((a == b).all() for a, b in zip(suffixes._placed(place), (first, last, sample)))
+    pieces = suffixes.text_pieces(raw, place, gram)
+    strings = []
+    for unit, at, low, high, _, before, after in zip(*(p.tolist() for p in pieces)):
+        assert 0 <= low <= high < suffixes.PIECE
+        assert before.to_bytes(7, "little") == bytes(raw[at - high : at])[::-1] + bytes(7 - high)
+        assert after.to_bytes(7, "little") == bytes(raw[at + 193 : at + 200 - low]) + bytes(low)
+        strings += range(at - high, at - low + 1)
+        assert first[unit] <= at - high and at - low <= last[unit]
+    assert sorted(strings) == list(range(len(raw) - 199))
+    monkeypatch.setattr(suffixes, "BLOCK", 300)
+    assert all((a == b).all() for a, b in zip(pieces, suffixes.text_pieces(raw, place, gram)))
+
+
+def test_only_rows_asked_for(spark, monkeypatch):
+    texts = spark.range(2_000).selectExpr("xxhash64(id) as row", "'t' as text", "id")
+    rows = texts.where("id % 100 = 0").select("row")
+    left = {r.id for r in suffixes._only(texts, rows).collect()}
+    assert left >= set(range(0, 2_000, 100)) and len(left) < 200
+    assert suffixes._only(texts, rows.where("false")).count() == 0
+    monkeypatch.setattr(suffixes, "ROW_BITS", 64)
+    assert suffixes._only(texts, rows).count() == 2_000
+
+
 # --- 8, 9, 10 -----------------------------------------------------------------------------
 
 
