@@ -243,7 +243,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     rows without an id are treated like others, and other columns are not read. Runs jobs when called.
     """
     spans = repeated_starts(docs, length, gram).groupBy("row").agg(
-        F.collect_set(F.shiftleft("first", 32).bitwiseOR(F.col("last"))).alias("starts")
+        F.collect_set(F.shiftleft("first", 16).bitwiseOR(F.col("last") - F.col("first"))).alias("starts")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,10 +268,10 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
 
 
 def remove(raw: np.ndarray, starts: np.ndarray, length: int) -> tuple[int, int, int, bytes]:
-    """Bytes, removed bytes, maximal removed runs, and what is left; ``starts`` has the first times 2 ** 32 plus the last."""
+    """Bytes, removed bytes, maximal removed runs, and what is left; ``starts``: 65,536 times the first of a run, plus its others."""
     edge = np.zeros(len(raw) + 1, np.int64)
-    np.add.at(edge, starts >> 32, 1)
-    np.add.at(edge, (starts & 0xFFFFFFFF) + length, -1)
+    np.add.at(edge, starts >> 16, 1)
+    np.add.at(edge, (starts >> 16) + (starts & 0xFFFF) + length, -1)
     gone = np.cumsum(edge[:-1]) > 0
     n_spans = int((gone & ~np.append(False, gone[:-1])[: len(gone)]).sum())
     return len(raw), int(gone.sum()), n_spans, raw[~gone].tobytes()

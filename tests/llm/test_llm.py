@@ -506,6 +506,12 @@ def test_repeats_of_near_copies(spark, monkeypatch):
     assert sum(sizes.values()) < 2_500
 
 
+def test_repeats_of_one_byte(spark):
+    # a unit per byte: their runs must not fall on one hash when they are collected
+    table = spark.createDataFrame([(1, "a" * 400_000), (2, "b" * 300)], "doc_id long, text string")
+    assert [r[1:4] for r in removed(table)] == [(400_000, 400_000, 1), (300, 300, 1)]
+
+
 def test_pieces(monkeypatch):
     raw = np.random.default_rng(8).integers(97, 100, 3_000).astype(np.uint8)
     first, last, sample, gram, _ = suffixes.text_units(raw)
