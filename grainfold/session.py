@@ -80,7 +80,12 @@ def drop_written(spark: SparkSession) -> None:
     For the end of a job, after its result is stored: DataFrames that still read from them
     do not work any more.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    drop_path(spark, _application_folder(spark))
+
+
+def drop_path(spark: SparkSession, folder: str) -> None:
+    """Delete what ``written_at`` has written there, when nothing reads from it any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

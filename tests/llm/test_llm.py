@@ -6,6 +6,7 @@ import re
 import string
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -24,6 +25,7 @@ from grainfold.llm.queries import QUERIES, TOKENIZER
 from grainfold.llm.tokens import unit_ids
 from grainfold.llm import words as expressions
 from grainfold.llm.words import NOT_ALNUM, NOT_ALNUM_CASED, SPACES, fold, word_count
+from grainfold.session import shared_folder
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 SENTENCE = "the quick brown fox jumps over the lazy dog while seven wizards mix potent elixirs behind old barns"
@@ -349,6 +351,36 @@ def test_katz_odd_rows(odd, empty):
     assert all(r.n_known == 0 for r in katz.scores(odd, F.lit(False)).collect())
 
 
+def test_katz_in_blocks_and_parts(docs, monkeypatch):
+    one = {r.doc_id: r for r in katz.scores(docs, fold("doc_id") != 1).collect()}
+    monkeypatch.setattr(katz, "BLOCK", 3000)
+    monkeypatch.setattr(katz, "PART", 2000)
+    many = katz.scores(docs, fold("doc_id") != 1).collect()
+    assert len(many) == len(one)
+    for r in many:
+        assert r[:5] == one[r.doc_id][:5]
+        assert math.isclose(r.base_score, one[r.doc_id].base_score) and math.isclose(r.score, one[r.doc_id].score)
+
+
+def test_katz_takes_little_disk(spark):
+    draw = np.random.default_rng(5)
+    texts = [(i, " ".join(f"word{w}" for w in draw.integers(0, 3000, 300))) for i in range(400)]
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    local = [str(d) for d in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()]
+
+    def files():
+        tables = Path(shared_folder(spark).removeprefix("file:")).rglob("*.parquet")
+        shuffled = (f for d in local for f in Path(d).rglob("shuffle_*"))
+        return {f: f.stat().st_size for found in (tables, shuffled) for f in found}
+
+    before, setting = files(), spark.conf.get(name, None)
+    scored = katz.scores(spark.createDataFrame(texts, "doc_id long, text string"), fold("doc_id") != 1)
+    # nearly all bigrams are distinct; tables and shuffles with a row for each take over 20 bytes a word
+    assert sum(size for f, size in files().items() if f not in before) < 6.5 * 400 * 300
+    assert spark.conf.get(name, None) == setting
+    assert scored.count() == 400
+
+
 # --- 6 ------------------------------------------------------------------------------------
 
 
